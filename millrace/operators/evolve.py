@@ -65,12 +65,18 @@ def read_evolved(spark: SparkSession, paths: Sequence[str], spec: TableSpec, **o
 
 
 def stamp_ids(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Attach the field ids so that the Parquet writer records them."""
-    return df.select(*[
-        F.col(f.name).cast(f.dataType).alias(f.name, metadata={FIELD_ID: f.metadata[FIELD_ID]})
-        if f.name in spec.columns else F.col(f.name)
-        for f in spec.schema
-    ], *[F.col(c) for c in df.columns if c not in spec.columns])
+    """Attach the field ids of ``spec`` so that the Parquet writer records them.
+
+    Ids inherited from wherever the rows were read are replaced; columns outside
+    the spec follow and lose theirs.
+    """
+    return df.select(
+        *[
+            F.col(f.name).cast(f.dataType).alias(f.name, metadata={FIELD_ID: f.metadata[FIELD_ID]})
+            for f in spec.schema
+        ],
+        *[F.col(c).alias(c, metadata={}) for c in df.columns if c not in spec.columns],
+    )
 
 
 def split_at(events: DataFrame, at: int | Column, position: str = "_lsn") -> tuple[DataFrame, DataFrame]:

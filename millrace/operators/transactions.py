@@ -36,12 +36,13 @@ def with_order(feed: DataFrame, stamp: bool = False) -> DataFrame:
     """Committed DML with its replay order: ``commit_lsn`` then ``pos``.
 
     The order is data, carried in two columns, so no sort is ever needed.
+    Rows outside transactions stand at their own position (0 for a snapshot).
     ``stamp`` replaces ``source_ts`` by the transaction's commit time.
     """
     rows = dml_only(feed)
     joined = rows.filter(F.col("xid") != NO_XID).join(commits(feed), "xid", "inner")
     free = outside_transactions(feed).withColumns(
-        {"commit_lsn": F.lit(0).cast("bigint"), "commit_ts": F.col("source_ts")}
+        {"commit_lsn": F.col("lsn"), "commit_ts": F.col("source_ts")}
     )
     out = joined.select(*feed.columns, "commit_lsn", "commit_ts").unionByName(free)
     if stamp:

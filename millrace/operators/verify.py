@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.functions.names import pk_equal
 
@@ -51,14 +51,11 @@ def diff_summary(expected: DataFrame, actual: DataFrame, pk: Sequence[str]) -> D
 def diff_sample(diff: DataFrame, pk: Sequence[str], n: int = 10) -> DataFrame:
     """The first ``n`` keys of each category: a top-k report.
 
-    Three ordered limits, each a per-task top-n merged on the driver side of
-    the plan; no category is ever gathered whole.
+    Spark limits each task to its own first ``n`` per category before the
+    shuffle (window group limit), so no category is ever gathered whole.
     """
-    out = None
-    for category in ("missing", "extra", "wrong"):
-        top = diff.filter(F.col("category") == category).orderBy(*pk).limit(n)
-        out = top if out is None else out.unionByName(top)
-    return out
+    w = Window.partitionBy("category").orderBy(*pk)
+    return diff.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n).drop("_n")
 
 
 def missing_keys(source: DataFrame, log: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -158,12 +158,12 @@ tx as (
   from log where _xid <> 0 group by _xid),
 done as (select * from tx where xid % 10 <> 0)"""
 
-# Committed rows with their replay order, position 0 for rows outside transactions.
+# Committed rows with their replay order; rows outside transactions stand at their own position.
 COMMITTED = f"""{FEED},
 committed as (
   select dml.*, done.commit_lsn, done.commit_ts from dml join done using (xid) where dml.xid <> 0
   union all
-  select dml.*, 0 as commit_lsn, dml.source_ts as commit_ts from dml where dml.xid = 0)"""
+  select dml.*, dml.lsn as commit_lsn, dml.source_ts as commit_ts from dml where dml.xid = 0)"""
 
 
 # -- several tables in one feed ----------------------------------------------
@@ -194,3 +194,30 @@ SHOP = """shop as (
   union all
   select 'public.lineitem', case when l_returnflag = 'R' then 'DELETE' else 'INSERT' end,
          l_orderkey, l_orderkey * 100 + l_linenumber, l_shipdate from lineitem)"""
+
+
+# -- the raw feed as files: row images as text, dropped in log order ----------
+
+
+def text_feed(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.functions.casts import to_text
+    from millrace.sources.feed import FEED_SCHEMA
+
+    feed = raw_feed(spark, d)
+
+    def texts(side):
+        pairs = [x for c in LOG_SPEC.columns
+                 for x in (F.lit(c), to_text(F.col(f"{side}.{c}"), LOG_SPEC.source_type(c)))]
+        return F.when(F.col(side).isNotNull(), F.create_map(*pairs))
+
+    return feed.withColumns({
+        "before": texts("before"), "after": texts("after"),
+        "source_ts": F.col("source_ts").cast("timestamp"), "proc_ts": F.col("proc_ts").cast("timestamp"),
+    }).select(*FEED_SCHEMA.names)
+
+
+def drops(feed: DataFrame, n: int = 3) -> list[DataFrame]:
+    """The feed cut into ``n`` stretches of the log. Transactions span the cuts."""
+    top = feed.agg(F.max("lsn") + 1).scalar()
+    cut = F.floor(F.col("lsn") * n / top)
+    return [feed.filter(F.greatest(cut, F.lit(0)) == i) for i in range(n)]

@@ -32,6 +32,7 @@ def local_session(cores: int | str = 8, app: str = "millrace", **conf: str) -> S
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")

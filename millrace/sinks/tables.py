@@ -27,17 +27,23 @@ def touched_name(spec: TableSpec) -> str:
     return f"{spec.lake_name}/touched"
 
 
-def _pk_schema(spec: TableSpec) -> T.StructType:
-    return T.StructType([spec.schema[c] for c in spec.pk])
+def key_spec(spec: TableSpec) -> TableSpec:
+    """The key columns alone, with their field ids: the shape of equality deletes."""
+    return TableSpec(spec.name, T.StructType([spec.schema[c] for c in spec.pk]), spec.pk)
 
 
 def ensure_tables(spark: SparkSession, root: str, specs: Sequence[TableSpec]) -> list[str]:
     """Create missing tables as an empty first commit; returns the names created."""
-    have = {r["table"] for r in commits.log(spark, root).select("table").distinct().collect()}
+    have = {r["table"] for r in commits.heads(spark, root)}
     new = [s for s in specs if data_name(s) not in have]
     if new:
-        writes = {data_name(s): stamp_ids(spark.createDataFrame([], s.schema), s) for s in new}
-        commits.commit_tables(spark, root, commits.last_commit(spark, root) + 1, writes, kind="base")
+        writes, parts = {}, {}
+        for s in new:
+            fields = partition_fields(s.partition, s)
+            writes[data_name(s)] = with_partitions(stamp_ids(spark.createDataFrame([], s.schema), s), fields)
+            parts |= partition_map(s)
+        commits.commit_tables(spark, root, commits.last_commit(spark, root) + 1, writes, kind="base",
+                              partition_by=parts)
     return [s.name for s in new]
 
 
@@ -53,7 +59,7 @@ def delta_writes(folded: DataFrame, spec: TableSpec) -> dict[str, DataFrame]:
     fields = partition_fields(spec.partition, spec)
     return {
         data_name(spec): with_partitions(stamp_ids(data, spec), fields),
-        deletes_name(spec): deletes,
+        deletes_name(spec): stamp_ids(deletes, key_spec(spec)),
     }
 
 
@@ -65,16 +71,13 @@ def partition_map(spec: TableSpec) -> dict[str, list[str]]:
 def read_parts(spark: SparkSession, root: str, spec: TableSpec, as_of: int | None = None
                ) -> tuple[DataFrame, DataFrame]:
     """Visible data and delete rows since the last compaction at or before ``as_of``."""
-    top = commits.last_commit(spark, root)
-    if as_of is not None:
-        top = min(top, as_of)
-    bases = commits.log(spark, root).filter(
-        (F.col("table") == data_name(spec)) & (F.col("kind") == "base") & (F.col(COMMIT) <= top)
-    )
-    base = bases.agg(F.max(COMMIT)).first()[0]
-    start = -1 if base is None else int(base) - 1
+    entries = commits.heads(spark, root) if as_of is None else commits.log(spark, root).filter(
+        F.col(COMMIT) <= as_of).groupBy("table", "kind").agg(F.max(COMMIT).alias("commit")).collect()
+    top = max((r["commit"] for r in entries), default=-1)
+    start = max((r["commit"] - 1 for r in entries
+                 if r["table"] == data_name(spec) and r["kind"] == "base"), default=-1)
     data = commits.read_table(spark, root, data_name(spec), spec.schema, top, start)
-    deletes = commits.read_table(spark, root, deletes_name(spec), _pk_schema(spec), top, start)
+    deletes = commits.read_table(spark, root, deletes_name(spec), key_spec(spec).schema, top, start)
     return data, deletes
 
 
@@ -91,7 +94,7 @@ def compact(spark: SparkSession, root: str, spec: TableSpec, rows_per_file: int
                            partition_fields(spec.partition, spec))
     commits.commit_tables(
         spark, root, commit, {data_name(spec): rows}, kind="base", partition_by=partition_map(spec),
-        mark=max(commits.last_mark(spark, root, data_name(spec)), 0),
+        mark=max(commits.last_mark(spark, root), 0),
         rows_per_file={data_name(spec): rows_per_file} if rows_per_file else None,
     )
     return commit

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark import StorageLevel
@@ -73,7 +73,7 @@ def run_feed(stream: DataFrame, specs: Sequence[TableSpec], root: str, checkpoin
 
 
 def materialize(spark: SparkSession, specs: Sequence[TableSpec], events_root: str, root: str,
-                upto: int | None = None, change: Callable | None = None) -> int | None:
+                upto: int | None = None) -> int | None:
     """Fold all unprocessed events of all tables and commit the result once.
 
     What is processed is recorded in the commit that holds the result, so a
