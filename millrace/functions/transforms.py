@@ -204,7 +204,8 @@ def _decimal_bytes(col: Column, dtype: T.DecimalType, signed: bool) -> Column:
         magnitude = F.when(col < 0, magnitude - 1).otherwise(magnitude) if signed else magnitude
         digits = F.hex(magnitude)
     else:
-        whole = F.regexp_replace(F.abs(col).cast("string"), r"\.", "").cast("decimal(38,0)")
+        # Digits as text: Spark's abs() rounds decimals beyond 34 digits.
+        whole = F.regexp_replace(col.cast("string"), "[-.]", "").cast("decimal(38,0)")
         whole = F.when(col < 0, whole - 1).otherwise(whole).cast("decimal(38,0)") if signed else whole
         part = F.lit(_PART).cast("decimal(20,0)")
         high = _div(whole, part)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.names import pk_equal
 from millrace.operators.fold import known_flag
+from millrace.operators.mor import COMMIT, scan
 from millrace.spec import TableSpec
 
 
@@ -38,14 +39,31 @@ def resolve(folded: DataFrame, base: DataFrame, spec: TableSpec, null_safe: bool
     that need it first: few such keys are broadcast under Spark's size limit
     and the table is not shuffled at all.
     """
-    cols = spec.resolvable
-    if not cols:
+    if not spec.resolvable:
         return folded
     need = unresolved(folded, spec).select(*spec.pk)
     hits = (
-        base.select(*spec.pk, *cols).alias("b")
+        base.select(*spec.pk, *spec.resolvable).alias("b")
         .join(need.alias("f"), _on(spec.pk, null_safe), "left_semi")
     )
+    return fill(folded, hits, spec, null_safe)
+
+
+def resolve_parts(folded: DataFrame, data: DataFrame, deletes: DataFrame, spec: TableSpec) -> DataFrame:
+    """``resolve`` against a merge-on-read table. Both its data and its deletes
+    are cut to the needed keys before they meet, so the cost follows the change
+    set, not the table."""
+    if not spec.resolvable:
+        return folded
+    need = unresolved(folded, spec).select(*spec.pk)
+    few_data = data.select(COMMIT, *spec.pk, *spec.resolvable).join(need, list(spec.pk), "left_semi")
+    few_deletes = deletes.select(COMMIT, *spec.pk).join(need, list(spec.pk), "left_semi")
+    return fill(folded, scan(few_data, few_deletes, spec.pk), spec)
+
+
+def fill(folded: DataFrame, hits: DataFrame, spec: TableSpec, null_safe: bool = False) -> DataFrame:
+    """Unknown columns from ``hits`` (one row per key), known ones as folded."""
+    cols = spec.resolvable
     joined = folded.alias("f").join(hits.alias("b"), _on(spec.pk, null_safe), "left")
     return joined.select(
         *[F.col(f"f.{c}").alias(c) for c in (*spec.pk, "op", "seq")],

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.functions.casts import typed
 from millrace.functions.names import unchanged_array, unchanged_csv
+from millrace.operators.spread import spread_join
 from millrace.spec import EVENT_META, TableSpec
 
 # Operation names of the feed and their codes in the events table.
@@ -36,18 +37,19 @@ def tracked(feed: DataFrame, tables: DataFrame | Iterable[str]) -> DataFrame:
     """Keep rows of tracked tables. Control rows carry no table and stay.
 
     A Python list becomes a pushed-down predicate; a DataFrame becomes a
-    left-semi join whose build side Spark broadcasts only under its size limit.
+    left-semi join that deals the rows of a busy table over several tasks.
     """
     if isinstance(tables, DataFrame):
         control = feed.filter(F.col("table").isNull())
         rows = feed.filter(F.col("table").isNotNull())
-        return rows.join(tables.select("table"), "table", "left_semi").select(*feed.columns).unionByName(control)
+        kept = spread_join(rows, tables.select("table").distinct(), ["table"])
+        return kept.select(*feed.columns).unionByName(control)
     return feed.filter(F.col("table").isin(*tables) | F.col("table").isNull())
 
 
 def known_relations(feed: DataFrame, relations: DataFrame, key: str = "relation_id") -> DataFrame:
     """Drop rows whose relation was never described."""
-    return feed.join(relations.select(key).distinct(), key, "left_semi").select(*feed.columns)
+    return spread_join(feed, relations.select(key).distinct(), [key]).select(*feed.columns)
 
 
 def _get(side: str, feed: DataFrame, spec: TableSpec, column: str) -> Column:

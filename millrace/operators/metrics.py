@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.operators.spread import spread_join
+
 # Upper bounds in seconds of the flush and materializer latency histograms.
 FLUSH_BOUNDS = (0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1, 2.5, 5, 10, 30, 60, 120, 300)
 MATERIALIZE_BOUNDS = (0.01, 0.05, 0.1, 0.25, 0.5, 1, 2.5, 5, 10, 30, 60, 120)
@@ -71,7 +73,8 @@ def histogram(df: DataFrame, value: str, bounds: Sequence[float], *by: str) -> D
 
 def backlog(events: DataFrame, progress: DataFrame) -> DataFrame:
     """Events per table beyond the table's last materialized sequence."""
-    joined = events.join(progress.select("table", "last_seq"), "table", "left")
+    joined = spread_join(events.select("table", "_seq"), progress.select("table", "last_seq"), ["table"], "left",
+                         by=F.col("_seq"))
     behind = F.col("last_seq").isNull() | (F.col("_seq") > F.col("last_seq"))
     return joined.groupBy("table").agg(F.count_if(behind).alias("backlog"))
 

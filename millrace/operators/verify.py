@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from millrace.functions.names import pk_equal
 
 
-def table_diff(expected: DataFrame, actual: DataFrame, pk: Sequence[str]) -> DataFrame:
-    """Differing keys with ``category``: missing, extra or wrong. Values compare null-safe."""
+def _compare(expected: DataFrame, actual: DataFrame, pk: Sequence[str]) -> DataFrame:
+    """Every key of either side with its category, null where both agree."""
     values = [c for c in expected.columns if c not in pk]
     e = expected.select(*pk, *values, F.lit(True).alias("_here")).alias("f")
     a = actual.select(*pk, *values, F.lit(True).alias("_here")).alias("b")
@@ -26,25 +26,22 @@ def table_diff(expected: DataFrame, actual: DataFrame, pk: Sequence[str]) -> Dat
     return joined.select(
         *[F.when(F.col("f._here"), F.col(f"f.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in pk],
         category.alias("category"),
-    ).filter(F.col("category").isNotNull())
+    )
+
+
+def table_diff(expected: DataFrame, actual: DataFrame, pk: Sequence[str]) -> DataFrame:
+    """Differing keys with ``category``: missing, extra or wrong. Values compare null-safe."""
+    return _compare(expected, actual, pk).filter(F.col("category").isNotNull())
 
 
 def diff_summary(expected: DataFrame, actual: DataFrame, pk: Sequence[str]) -> DataFrame:
-    """One row: totals, counts by category and the pass flag."""
-    counts = [
-        table_diff(expected, actual, pk).select("category"),
-        expected.select(F.lit("expected").alias("category")),
-        actual.select(F.lit("actual").alias("category")),
-    ]
-    rows = counts[0].unionByName(counts[1]).unionByName(counts[2])
-
-    def n(name: str):
-        return F.count_if(F.col("category") == name)
-
-    return rows.agg(
-        n("expected").alias("expected_rows"), n("actual").alias("actual_rows"),
-        n("missing").alias("missing_rows"), n("extra").alias("extra_rows"), n("wrong").alias("wrong_rows"),
-        ((n("missing") + n("extra") + n("wrong")) == 0).alias("pass"),
+    """One row: totals, counts by category and the pass flag, all from one join."""
+    missing, extra, wrong = (F.count_if(F.col("category") == c) for c in ("missing", "extra", "wrong"))
+    rows = F.count("*")
+    return _compare(expected, actual, pk).agg(
+        (rows - extra).alias("expected_rows"), (rows - missing).alias("actual_rows"),
+        missing.alias("missing_rows"), extra.alias("extra_rows"), wrong.alias("wrong_rows"),
+        ((missing + extra + wrong) == 0).alias("pass"),
     )
 
 

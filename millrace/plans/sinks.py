@@ -59,12 +59,10 @@ def k3(spark, d):
     """Base as commit 0, the batch merged as commit 1: only touched partitions are rewritten."""
     root = work_dir(spark, "k3")
     base, batch = base_and_batch(spark, d)
-    empty = base.limit(0)
-    table_sink.merge_table(as_folded(base, BUCKETED), empty, BUCKETED, root, 0)
-    stored = table_sink.read_versions(spark, root, BUCKETED)
-    folded = fold(batch, BUCKETED).persist(StorageLevel.MEMORY_AND_DISK)
-    table_sink.merge_table(folded, stored, BUCKETED, root, 1)
-    folded.unpersist()
+    for commit, change in enumerate((as_folded(base, BUCKETED), fold(batch, BUCKETED))):
+        change = change.persist(StorageLevel.MEMORY_AND_DISK)
+        table_sink.merge_table(change, BUCKETED, root, commit)
+        change.unpersist()
     return table_sink.read_versions(spark, root, BUCKETED)
 
 
@@ -73,10 +71,11 @@ def k3_before(spark, d):
     """The earlier version stays readable after a merge that touched few partitions."""
     root = work_dir(spark, "k3v")
     base, batch = base_and_batch(spark, d)
-    table_sink.merge_table(as_folded(base, BUCKETED), base.limit(0), BUCKETED, root, 0)
-    stored = table_sink.read_versions(spark, root, BUCKETED)
     one = fold(batch.filter(F.col("user_id") % 5 == 1), BUCKETED)
-    table_sink.merge_table(one, stored, BUCKETED, root, 1)
+    for commit, change in enumerate((as_folded(base, BUCKETED), one)):
+        change = change.persist(StorageLevel.MEMORY_AND_DISK)
+        table_sink.merge_table(change, BUCKETED, root, commit)
+        change.unpersist()
     return table_sink.read_versions(spark, root, BUCKETED, as_of=0)
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from millrace.functions.transforms import partition_fields, with_partitions
+from millrace.functions.transforms import partition_fields, partition_path, with_partitions
 from millrace.operators import mor
-from millrace.operators.apply import apply, restrict_to, touched_partitions
+from millrace.operators.apply import apply, touched_partitions
 from millrace.operators.evolve import stamp_ids
 from millrace.operators.mor import COMMIT
 from millrace.sinks import commits
@@ -50,12 +50,14 @@ def ensure_tables(spark: SparkSession, root: str, specs: Sequence[TableSpec]) ->
 # -- merge-on-read -----------------------------------------------------------
 
 
-def delta_writes(folded: DataFrame, spec: TableSpec) -> dict[str, DataFrame]:
-    """Data and delete rows of resolved changes, by target folder.
+def delta_writes(ready: DataFrame, spec: TableSpec, folded: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Data rows of resolved changes and the deletes of their keys, by target folder.
 
-    ``folded`` is read twice; callers persist or write it first.
+    The deletes need keys only: pass the unresolved ``folded`` (persisted, like
+    ``ready`` when both are one) and their write skips the lookups.
     """
-    deletes, data = mor.split(folded, spec)
+    deletes, _ = mor.split(ready if folded is None else folded, spec)
+    _, data = mor.split(ready, spec)
     fields = partition_fields(spec.partition, spec)
     return {
         data_name(spec): with_partitions(stamp_ids(data, spec), fields),
@@ -94,7 +96,7 @@ def compact(spark: SparkSession, root: str, spec: TableSpec, rows_per_file: int
                            partition_fields(spec.partition, spec))
     commits.commit_tables(
         spark, root, commit, {data_name(spec): rows}, kind="base", partition_by=partition_map(spec),
-        mark=max(commits.last_mark(spark, root), 0),
+        mark=max(commits.last_mark(spark, root), 0), cluster=True,
         rows_per_file={data_name(spec): rows_per_file} if rows_per_file else None,
     )
     return commit
@@ -102,56 +104,50 @@ def compact(spark: SparkSession, root: str, spec: TableSpec, rows_per_file: int
 
 # -- copy-on-write -----------------------------------------------------------
 
+PART = "_part"  # partition path: one never-null text per partition
 
-def merge_table(folded: DataFrame, base: DataFrame, spec: TableSpec, root: str, commit: int) -> None:
+
+def merge_table(folded: DataFrame, spec: TableSpec, root: str, commit: int) -> None:
     """Rewrite only the partitions a change set touches, as a new version of each.
 
     The list of touched partitions is stored with the commit, so a partition
     that became empty is known to be empty. Unpartitioned tables are rewritten
-    whole.
+    whole. ``folded`` is read three times; callers persist or write it first.
     """
     spark = folded.sparkSession
     fields = partition_fields(spec.partition, spec)
     parts = [f.name for f in fields]
     if not parts:
-        rows = stamp_ids(apply(base, folded, spec), spec)
+        rows = stamp_ids(apply(read_state(spark, root, spec), folded, spec), spec)
         commits.commit_tables(spark, root, commit, {data_name(spec): rows}, kind="base")
         return
-    based = with_partitions(base.select(*spec.columns), fields)
-    touched = touched_partitions(based, with_partitions(folded, fields), spec, parts)
+    current = _stored_versions(spark, root, spec)
+    placed = with_partitions(folded, fields).withColumn(PART, partition_path(fields))
+    touched = touched_partitions(current.select(*spec.pk, PART), placed, spec, [PART])
     commits.write_part(touched, root, touched_name(spec), commit)
-    stored = spark.read.parquet(f"{root}/{touched_name(spec)}/{COMMIT}={commit}")
-    inside = restrict_to(based, stored, parts).select(*spec.columns)
+    listed = commits.read_table(spark, root, touched_name(spec), _TOUCHED, commit, commit - 1)
+    # The path is made of partition columns alone, so this prunes folders at run time.
+    inside = current.join(listed.select(PART), PART, "left_semi")
     rows = with_partitions(stamp_ids(apply(inside, folded, spec), spec), fields)
-    commits.write_part(rows, root, data_name(spec), commit, parts)
+    commits.write_part(rows, root, data_name(spec), commit, parts, cluster=True)
     commits.publish(spark, root, commit, {data_name(spec): "rewrite"})
 
 
-def read_versions(spark: SparkSession, root: str, spec: TableSpec, as_of: int | None = None) -> DataFrame:
-    """Rows of a partition-rewritten table: each partition at its latest version."""
+_TOUCHED = T.StructType([T.StructField(PART, T.StringType())])
+
+
+def _stored_versions(spark: SparkSession, root: str, spec: TableSpec, as_of: int | None = None) -> DataFrame:
+    """Visible rows with their partition path, each partition at its latest version."""
     fields = partition_fields(spec.partition, spec)
-    parts = [f.name for f in fields]
     derived = [T.StructField(f.name, f.result_type) for f in fields if f.transform != "identity"]
+    schema = T.StructType(list(spec.schema.fields) + derived)
     top = commits.last_commit(spark, root) if as_of is None else as_of
-    touched_schema = T.StructType([
-        T.StructField(f.name, f.result_type) for f in fields
-    ])
-    data_schema = T.StructType([
-        T.StructField(f.name, f.dataType, True, f.metadata) for f in spec.schema
-    ] + derived)
-    latest = commits.read_table(spark, root, touched_name(spec), touched_schema, top).groupBy(*parts).agg(
-        F.max(COMMIT).alias("_latest"))
-    data = commits.read_table(spark, root, data_name(spec), data_schema, top)
-    from millrace.functions.names import pk_equal
-
-    cond = pk_equal("d", "v", parts) & (F.col(f"d.{COMMIT}") == F.col("v._latest"))
-    return data.alias("d").join(latest.alias("v"), cond, "left_semi").select(*spec.columns)
-
-
-def write_counts(writes: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows per target of a set of writes."""
-    out = None
-    for table, df in writes.items():
-        one = df.select(F.lit(table).alias("table")).groupBy("table").agg(F.count("*").alias("n"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    latest = commits.read_table(spark, root, touched_name(spec), _TOUCHED, top).groupBy(PART).agg(
+        F.max(COMMIT).alias(COMMIT))
+    data = commits.read_table(spark, root, data_name(spec), schema, top).withColumn(PART, partition_path(fields))
+    return data.join(latest, [PART, COMMIT], "left_semi")
+
+
+def read_versions(spark: SparkSession, root: str, spec: TableSpec, as_of: int | None = None) -> DataFrame:
+    """Rows of a partition-rewritten table, now or as of a commit."""
+    return _stored_versions(spark, root, spec, as_of).select(*spec.columns)

@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.apply import resolve
+from millrace.operators.apply import resolve_parts, unresolved
 from millrace.operators.envelope import dml_only, to_events, tracked
 from millrace.operators.fold import as_folded, fold
 from millrace.operators.latest import latest_per_key
@@ -39,19 +39,25 @@ def feed_batch(batch: DataFrame, batch_id: int, specs: Sequence[TableSpec], root
     waiting = commits.read_table(spark, root, OPEN_ROWS, FEED_SCHEMA, upto=batch_id - 1, after=batch_id - 2)
     rows = dml_only(mine).select(*FEED_SCHEMA.names).unionByName(waiting.select(*FEED_SCHEMA.names))
 
-    inside = rows.filter(F.col("xid") != NO_XID)
-    ready = inside.join(done, "xid", "inner").unionByName(
-        rows.filter(F.col("xid") == NO_XID).withColumns(
-            {"commit_lsn": F.col("lsn"), "commit_ts": F.col("source_ts")})
-    ).withColumn("source_ts", F.col("commit_ts"))
-    still_open = inside.join(done.select("xid"), "xid", "left_anti").select(*FEED_SCHEMA.names)
-
-    writes, parts = {OPEN_ROWS: still_open}, {}
-    for spec in specs:
-        mine = to_events(ready.filter(F.col("table") == spec.name), spec, lsn="commit_lsn")
-        writes[spec.events_name], parts[spec.events_name] = event_sink.prepare_events(mine, spec)
-    position = done.agg(F.max("commit_lsn")).first()[0]
-    commits.commit_tables(spark, root, batch_id, writes, mark=position, partition_by=parts)
+    # One pass tags every row with its commit; each table's write then reads the tagged rows.
+    free = F.col("xid") == NO_XID
+    tagged = (
+        rows.join(done, "xid", "left")
+        .withColumns({"commit_lsn": F.when(free, F.col("lsn")).otherwise(F.col("commit_lsn")),
+                      "commit_ts": F.when(free, F.col("source_ts")).otherwise(F.col("commit_ts"))})
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    try:
+        ready = tagged.filter(F.col("commit_lsn").isNotNull()).withColumn("source_ts", F.col("commit_ts"))
+        writes = {OPEN_ROWS: tagged.filter(F.col("commit_lsn").isNull()).select(*FEED_SCHEMA.names)}
+        parts = {}
+        for spec in specs:
+            own = to_events(ready.filter(F.col("table") == spec.name), spec, lsn="commit_lsn")
+            writes[spec.events_name], parts[spec.events_name] = event_sink.prepare_events(own, spec)
+        position = done.agg(F.max("commit_lsn")).first()[0]
+        commits.commit_tables(spark, root, batch_id, writes, mark=position, partition_by=parts)
+    finally:
+        tagged.unpersist()
     if pipeline_id is not None and position is not None:
         # After the commit is durable, never before.
         progress.save_progress(spark, root, pipeline_id, {"mode": "logical", "lsn": int(position)})
@@ -91,11 +97,14 @@ def materialize(spark: SparkSession, specs: Sequence[TableSpec], events_root: st
     try:
         for spec in keyed:
             fresh = event_sink.read_events(spark, events_root, spec, after=done, upto=top)
-            folded = fold(fresh, spec, order=F.struct("_lsn", "_seq"))
-            state = tables.read_state(spark, root, spec)
-            ready = resolve(folded, state, spec).persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(ready)
-            writes |= tables.delta_writes(ready, spec)
+            folded = fold(fresh, spec, order=F.struct("_lsn", "_seq")).persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(folded)
+            ready = folded
+            # Most cycles of most tables have nothing to look up; then the table is not read at all.
+            if not unresolved(folded, spec).isEmpty():
+                data, deletes = tables.read_parts(spark, root, spec)
+                ready = resolve_parts(folded, data, deletes, spec)
+            writes |= tables.delta_writes(ready, spec, folded)
             parts |= tables.partition_map(spec)
         commits.commit_tables(spark, root, commit, writes, kind="delta", mark=top, partition_by=parts)
     finally:
