@@ -23,31 +23,30 @@ def fold(events: DataFrame, spec: TableSpec, order: str | Column = "_seq") -> Da
     the table by ``resolve`` or ``apply``.
 
     Aggregates combine map-side, so a key holding a large share of all events
-    reaches the shuffle as one row per task. Columns that can never be left out
-    travel together in a single aggregate.
+    reaches the shuffle as one row per task. Each is a plain maximum over
+    ``struct(order, value)``: the order decides, and a struct that stays null
+    says that no event made the column known. Columns that can never be left
+    out travel together in the first of them.
     """
     spec.require_pk()
     key = F.col(order) if isinstance(order, str) else order
-    lists = "_unchanged" if "_unchanged" in events.columns else None
-    rows = events if lists else events.withColumn("_unchanged", unchanged_array(F.col("_unchanged_cols")))
+    listed = "_unchanged" in events.columns
+    rows = events if listed else events.withColumn("_unchanged", unchanged_array(F.col("_unchanged_cols")))
     rows = rows.filter(F.col("_op").isin("I", "U", "D")).withColumn("_order", key)
     open_cols = spec.resolvable
     plain = [c for c in spec.value_columns if c not in open_cols]
 
-    aggs = [F.max_by(F.struct(F.col("_op"), F.col("_order"), *plain), "_order").alias("_last")]
+    aggs = [F.max(F.struct("_order", "_op", *plain)).alias("_last")]
     for c in open_cols:
         known = (F.col("_op") != "U") | ~F.array_contains("_unchanged", c)
-        picked = F.when(known, F.col("_order"))
-        # Rows with a null ordering value are ignored by max_by.
-        aggs.append(F.max_by(F.col(c), picked).alias(c))
-        aggs.append(F.max(known).alias(known_flag(c)))
+        aggs.append(F.max(F.when(known, F.struct(F.col("_order"), F.col(c).alias("v")))).alias(c))
     folded = rows.groupBy(*spec.pk).agg(*aggs)
     return folded.select(
         *spec.pk,
         F.col("_last._op").alias("op"),
         F.col("_last._order").alias("seq"),
-        *[F.col(f"_last.{c}").alias(c) if c in plain else F.col(c) for c in spec.value_columns],
-        *[known_flag(c) for c in open_cols],
+        *[F.col(f"_last.{c}").alias(c) if c in plain else F.col(f"{c}.v").alias(c) for c in spec.value_columns],
+        *[F.col(c).isNotNull().alias(known_flag(c)) for c in open_cols],
     )
 
 

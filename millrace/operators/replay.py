@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from millrace.operators.spread import RANGES
+
 
 def replay_ops(ops: DataFrame, key: str = "seq", order: str = "id") -> DataFrame:
     """Operation log -> live ``(key, value)``.
@@ -42,15 +44,16 @@ def replay_by_id(events: DataFrame, order: str = "_seq") -> DataFrame:
 
 
 def as_of(events: DataFrame, versions: DataFrame, by: str, at: str, payload: list[str],
-          width: int = 1 << 20) -> DataFrame:
+          ranges: int = RANGES) -> DataFrame:
     """Each event with the latest version at or before it (``versions.at <= events.at``).
 
-    Both sides are cut into ranges of ``width`` on ``at``. Inside a range a
-    running last value answers; events before the range's first version take
-    the last version of the nearest earlier range. A table that holds a third of
-    all events is spread over its ranges, and only one summary row per range is
+    Both sides are cut into ranges of ``at``. Inside a range a running last
+    value answers; events before the range's first version take the last
+    version of the nearest earlier range. A table that holds a third of all
+    events is spread over its ranges, and only one summary row per range is
     ever put in order.
     """
+    width = events.agg(F.greatest(F.lit(1), F.ceil((F.max(at) - F.min(at) + 1) / ranges))).scalar()
     rng = F.floor(F.col(at) / width)
     ev = events.withColumn("_r", rng)
     ver = versions.select(by, at, F.struct(*payload).alias("_v")).withColumn("_r", rng)

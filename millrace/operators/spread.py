@@ -1,4 +1,4 @@
-"""Joins of a big, skewed side with a small set of keys."""
+"""Dividing work on busy keys: salted joins with small key sets, and position ranges."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 SALTS = 32
+RANGES = 1 << 14
 
 
 def spread_join(rows: DataFrame, keys: DataFrame, on: Sequence[str], how: str = "left_semi",
@@ -22,3 +23,14 @@ def spread_join(rows: DataFrame, keys: DataFrame, on: Sequence[str], how: str =
     dealt = rows.withColumn("_salt", F.pmod(seed, F.lit(salts)).cast("int"))
     listed = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return dealt.join(listed, [*on, "_salt"], how).drop("_salt")
+
+
+def position_range(df: DataFrame, column: str, ranges: int = RANGES) -> Column:
+    """Number of the stretch of ``column`` a row falls in, at most about ``ranges`` of them.
+
+    The width follows the data, so rows per range and ranges per key both stay
+    small as the log grows. The bounds come from a scalar subquery that reads
+    one column.
+    """
+    width = df.agg(F.greatest(F.lit(1), F.ceil((F.max(column) - F.min(column) + 1) / ranges))).scalar()
+    return F.floor(F.col(column) / width)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.operators.envelope import dml_only
+from millrace.operators.spread import RANGES, position_range
 
 NO_XID = 0  # rows outside any transaction, such as snapshot rows
 
@@ -64,15 +65,15 @@ def stamp_begin(feed: DataFrame) -> DataFrame:
     )
 
 
-def statement_numbers(rows: DataFrame, width: int = 1 << 20, name: str = "tx_seq") -> DataFrame:
+def statement_numbers(rows: DataFrame, ranges: int = RANGES, name: str = "tx_seq") -> DataFrame:
     """Dense 1-based statement number inside each transaction, in ``pos`` order.
 
-    One transaction may be a bulk load holding a third of all rows, so it is cut
-    into position ranges of ``width``: rows are numbered inside a range, and a
-    range starts where the counts of the ranges before it end. No task sees more
-    than ``width`` rows of one transaction.
+    One transaction may be a bulk load holding a third of all rows, so the log
+    is cut into position ranges: rows are numbered inside a range, and a range
+    starts where the counts of the transaction's earlier ranges end. A task
+    sorts one range of rows, or the ``ranges`` counts of one transaction.
     """
-    cut = rows.withColumn("_range", F.floor(F.col("pos") / width))
+    cut = rows.withColumn("_range", position_range(rows, "pos", ranges))
     sizes = cut.groupBy("xid", "_range").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("xid").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(

@@ -56,8 +56,9 @@ def diff_sample(diff: DataFrame, pk: Sequence[str], n: int = 10) -> DataFrame:
 
 
 def missing_keys(source: DataFrame, log: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Source keys absent from the change log."""
-    return source.select(*key).join(log.select(*key), list(key), "left_anti")
+    """Source keys absent from the change log. The log's keys are made unique
+    first, map-side, so a key with very many events weighs no more than others."""
+    return source.select(*key).join(log.select(*key).distinct(), list(key), "left_anti")
 
 
 def order_ties(rows: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from millrace.operators import mor
 from millrace.operators.apply import apply
 from millrace.operators.fold import fold, live
 from millrace.operators.verify import diff_summary, missing_keys, order_ties, table_diff
-from millrace.plans.fixtures import LOG, LOG_SPEC, STATE, base_and_batch, change_log, fold_sql
+from millrace.plans.fixtures import HALF, LOG, LOG_SPEC, STATE, base_and_batch, change_log, fold_sql, half
 from millrace.plans.folding import PAIR, mor_pair
 from millrace.plans.registry import register
 
@@ -74,15 +74,15 @@ def v4_ties(spark, d):
     return order_ties(change_log(spark, d), ["_seq"]).agg(F.count("*").alias("ties"))
 
 
-@register("v5_state_as_of_sequence", f"""with {LOG},\n{fold_sql('f', 'log', where='_seq <= 600')}
+@register("v5_state_as_of_sequence", f"""with {LOG},\n{fold_sql('f', 'log', where=f'_seq < {HALF}')}
 select user_id, slot, value, props from f where op <> 'D'""")
 def v5(spark, d):
-    return live(fold(change_log(spark, d).filter(F.col("_seq") <= 600), LOG_SPEC), LOG_SPEC)
+    return live(fold(change_log(spark, d).filter(F.col("_seq") < half(spark, d)), LOG_SPEC), LOG_SPEC)
 
 
 @register("v5_state_as_of_commit", f"""with {PAIR}
-select d.user_id, d.slot, d.value, d.props from data d where d._commit <= 2 and not exists (
-  select 1 from deletes x where x.user_id = d.user_id and x.slot = d.slot and x._commit > d._commit and x._commit <= 2)""")
+select d.user_id, d.slot, d.value, d.props from data d where d._commit <= 30 and not exists (
+  select 1 from deletes x where x.user_id = d.user_id and x.slot = d.slot and x._commit > d._commit and x._commit <= 30)""")
 def v5_commit(spark, d):
     deletes, data = mor_pair(spark, d)
-    return mor.scan(data, deletes, PK, as_of=2)
+    return mor.scan(data, deletes, PK, as_of=30)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import evolve as ev
 from millrace.operators.fold import fold, live
-from millrace.plans.fixtures import LOG, LOG_SPEC, change_log, fold_sql, table
+from millrace.plans.fixtures import HALF, LOG, LOG_SPEC, change_log, fold_sql, half, table
 from millrace.plans.registry import register
 from millrace.session import work_dir
 from millrace.spec import SchemaChange, TableSpec
@@ -148,17 +148,17 @@ def e7(spark, d):
 
 
 @register("e8_schema_barrier", f"""with {LOG},
-{fold_sql('a', 'log', where='_lsn < 5000')}, {fold_sql('f', 'log')}
+{fold_sql('f', 'log')}
 select f.user_id, f.slot, f.value, f.props,
   case when last.n > 0 then last.sq end as score
 from f left join (select user_id, slot, max(_seq) as sq, count(*) as n, arg_max(_op, _seq) as op from log
-  where _lsn >= 5000 group by 1, 2) last on last.user_id = f.user_id and last.slot = f.slot
+  where _seq >= {HALF} group by 1, 2) last on last.user_id = f.user_id and last.slot = f.slot
 where f.op <> 'D'""")
 def e8(spark, d):
-    """A column appears at position 5000: events before it have the old schema, later ones carry it."""
+    """A column appears half way: events before it have the old schema, later ones carry it."""
     log = change_log(spark, d)
     new_spec = LOG_SPEC.evolve(SchemaChange(added=(("score", "bigint"),)))
-    old, new = ev.split_at(log, 5000)
+    old, new = ev.split_at(log, half(spark, d), "_seq")
     from millrace.operators.apply import apply
 
     base = ev.conform(live(fold(old, LOG_SPEC), LOG_SPEC), new_spec)

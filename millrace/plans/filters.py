@@ -77,9 +77,9 @@ def f5(spark, d):
     return out
 
 
-@register("f6_commit_range", f"with {COMMITS}\nselect _commit, _seq, _op from clog where _commit > 1")
+@register("f6_commit_range", f"with {COMMITS}\nselect _commit, _seq, _op from clog where _commit > 9")
 def f6(spark, d):
-    return between(commit_log(spark, d), 1).select("_commit", "_seq", "_op")
+    return between(commit_log(spark, d), 9).select("_commit", "_seq", "_op")
 
 
 @register("f7_unknown_deletes", f"""with {BASE_BATCH}

@@ -98,14 +98,18 @@ STATE = ",\n".join([
 
 # -- the log cut into numbered commits ---------------------------------------
 
-COMMIT_WIDTH = 250
+# A fixed number of commits whatever the size of the log, as between two compactions.
+
+COMMIT_COUNT = 40
 
 
 def commit_log(spark: SparkSession, d: str) -> DataFrame:
-    return change_log(spark, d).withColumn("_commit", F.floor(F.col("_seq") / COMMIT_WIDTH))
+    total = table(spark, d, "events").agg(F.max("event_id") + 1).scalar()
+    return change_log(spark, d).withColumn("_commit", F.floor(F.col("_seq") * COMMIT_COUNT / total))
 
 
-COMMITS = f"{LOG},\nclog as (select *, _seq // {COMMIT_WIDTH} as _commit from log)"
+COMMITS = f"""{LOG},
+clog as (select *, _seq * {COMMIT_COUNT} // (select max(event_id) + 1 from events) as _commit from log)"""
 
 
 # -- raw feed with transactions ----------------------------------------------

@@ -8,7 +8,7 @@ from millrace.operators import mor, replay
 from millrace.operators.apply import affected, apply, resolve, restrict_to, route_deletes, touched_partitions, unresolved
 from millrace.operators.fold import fold, live
 from millrace.plans.fixtures import (
-    BASE_BATCH, COMMITS, COMMIT_WIDTH, LOG, LOG_SPEC, STATE, base_and_batch, change_log, commit_log,
+    BASE_BATCH, COMMITS, LOG, LOG_SPEC, STATE, base_and_batch, change_log, commit_log,
     fold_sql, table,
 )
 from millrace.plans.registry import register
@@ -289,4 +289,4 @@ def j3(spark, d):
     versions = log.filter(F.col("_op") == "I").select(
         F.col("slot").alias("rel"), (F.col("_lsn") - 5).alias("at"), F.col("_seq").alias("version"))
     ev = log.select("_seq", F.col("slot").alias("rel"), F.col("_lsn").alias("at"))
-    return replay.as_of(ev, versions, "rel", "at", ["version"], width=5000)
+    return replay.as_of(ev, versions, "rel", "at", ["version"])

@@ -198,10 +198,9 @@ def p11_key_change(spark, d):
 
 
 @register("p12_unchanged_list", f"""with {LOG}
-select _seq, _unchanged_cols as csv, len(string_split(nullif(coalesce(_unchanged_cols, ''), ''), ',')) as n0,
+select _seq, _unchanged_cols as csv, cast(coalesce(len(string_split(_unchanged_cols, ',')), 0) as integer) as n,
        coalesce(list_contains(string_split(_unchanged_cols, ','), 'value'), false) as has_value
-from log""".replace("len(string_split(nullif(coalesce(_unchanged_cols, ''), ''), ',')) as n0",
-                    "cast(coalesce(len(string_split(_unchanged_cols, ',')), 0) as integer) as n"))
+from log""")
 def p12(spark, d):
     arr = N.unchanged_array(F.col("_unchanged_cols"))
     rows = change_log(spark, d).select("_seq", arr.alias("a"))

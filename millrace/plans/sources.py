@@ -92,9 +92,9 @@ def s5_first(spark, d):
     return poll(e, "ts")
 
 
-@register("s6_events_since_commit", f"with {COMMITS}\nselect * from clog where _commit > 0 and _commit <= 1000000")
+@register("s6_events_since_commit", f"with {COMMITS}\nselect * from clog where _commit > 9 and _commit <= 34")
 def s6(spark, d):
-    return between(commit_log(spark, d), 0, 1000000)
+    return between(commit_log(spark, d), 9, 34)
 
 
 @register("s7_parse_events", f"""with {LOG}
@@ -111,10 +111,10 @@ def s8(spark, d):
     return key_scan(table(spark, d, "orders"), ["o_orderkey", "o_custkey"])
 
 
-@register("s9_live_data", f"with {COMMITS}\nselect _commit, user_id, slot, value, props from clog where _op <> 'D' and _commit <= 2")
+@register("s9_live_data", f"with {COMMITS}\nselect _commit, user_id, slot, value, props from clog where _op <> 'D' and _commit <= 30")
 def s9(spark, d):
     data = commit_log(spark, d).filter(F.col("_op") != "D").select("_commit", *LOG_SPEC.columns)
-    return live_data(data, 2)
+    return live_data(data, 30)
 
 
 @register("s10_chunked_scan", """select l_orderkey // 100 * 100 as lo, l_orderkey // 100 * 100 + 100 as hi, count(*) as n,

@@ -51,7 +51,7 @@ def t3_bulk(spark, d):
     rows = table(spark, d, "events").select(
         F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id")).cast("bigint").alias("xid"),
         F.col("event_id").alias("pos"))
-    return tx.statement_numbers(rows, width=100)
+    return tx.statement_numbers(rows, ranges=50)
 
 
 @register("t4_commit_time_stamp", f"with {COMMITTED}\nselect xid, pos, commit_ts as source_ts from committed")

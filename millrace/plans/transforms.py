@@ -78,8 +78,8 @@ def x1(spark, d):
 
 
 def _time(name, kind, expr):
-    @register(name, f"select event_id, cast({expr} as integer) as ts_{kind} from ev".replace(
-        "from ev", "from (select event_id, ts - to_days(cast(event_id % 400 as integer)) * 60 as ts from events)"))
+    @register(name, f"""select event_id, cast({expr} as integer) as ts_{kind}
+from (select event_id, ts - to_days(cast(event_id % 400 * 60 as integer)) as ts from events)""")
     def run(spark, d):
         # Shifted back up to 65 years, so many values lie before 1970.
         e = table(spark, d, "events").select(

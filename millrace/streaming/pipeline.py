@@ -55,7 +55,8 @@ def feed_batch(batch: DataFrame, batch_id: int, specs: Sequence[TableSpec], root
             own = to_events(ready.filter(F.col("table") == spec.name), spec, lsn="commit_lsn")
             writes[spec.events_name], parts[spec.events_name] = event_sink.prepare_events(own, spec)
         position = done.agg(F.max("commit_lsn")).first()[0]
-        commits.commit_tables(spark, root, batch_id, writes, mark=position, partition_by=parts)
+        commits.commit_tables(spark, root, batch_id, writes, mark=position, partition_by=parts,
+                              cluster=True)
     finally:
         tagged.unpersist()
     if pipeline_id is not None and position is not None:
@@ -106,7 +107,8 @@ def materialize(spark: SparkSession, specs: Sequence[TableSpec], events_root: st
                 ready = resolve_parts(folded, data, deletes, spec)
             writes |= tables.delta_writes(ready, spec, folded)
             parts |= tables.partition_map(spec)
-        commits.commit_tables(spark, root, commit, writes, kind="delta", mark=top, partition_by=parts)
+        commits.commit_tables(spark, root, commit, writes, kind="delta", mark=top, partition_by=parts,
+                              cluster=True)
     finally:
         for df in held:
             df.unpersist()
@@ -159,7 +161,7 @@ def poll_cycle(spark: SparkSession, sources: Mapping[str, DataFrame], specs: Seq
             parts |= tables.partition_map(spec)
         if not writes or not (moved or lag):
             return None
-        commits.commit_tables(spark, root, commit, writes, kind="delta", partition_by=parts)
+        commits.commit_tables(spark, root, commit, writes, kind="delta", partition_by=parts, cluster=True)
         progress.save_progress(spark, root, pipeline_id, {"mode": "query", "watermarks": marks})
     finally:
         for df in held:

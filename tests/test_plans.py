@@ -50,7 +50,7 @@ def test_no_all_pairs_and_no_python(spark, sf, conf):
 def test_fold_is_one_shuffle_with_partial_aggregation(spark, sf):
     text = plan(fold(change_log(spark, sf), LOG_SPEC))
     assert text.count("Exchange hashpartitioning") == 1
-    assert "partial_max_by" in text and "Window" not in text
+    assert "partial_max" in text and "Window" not in text
 
 
 def test_apply_reuses_the_partitioning_of_the_fold(spark, sf, conf):
