@@ -50,6 +50,21 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     ])
 
 
+def conform_ids(df: DataFrame, old: TableSpec, new: TableSpec) -> DataFrame:
+    """Rows of ``old`` seen under ``new``, matched by field id like files are: a
+    name that came back under a new id does not see the old values. Columns
+    outside both specs pass through."""
+    by_id = {old.field_id(c): c for c in old.columns}
+    return df.select(
+        *[F.col(c) for c in df.columns if c not in old.columns],
+        *[
+            (F.col(by_id[f.metadata[FIELD_ID]]) if f.metadata[FIELD_ID] in by_id else F.lit(None))
+            .cast(f.dataType).alias(f.name)
+            for f in new.schema
+        ],
+    )
+
+
 def read_evolved(spark: SparkSession, paths: Sequence[str], spec: TableSpec, **options) -> DataFrame:
     """Files of any earlier version under the current schema, matched by field id.
 

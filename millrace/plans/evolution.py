@@ -6,10 +6,14 @@ from pyspark.sql import functions as F
 
 from millrace.operators import evolve as ev
 from millrace.operators.fold import fold, live
-from millrace.plans.fixtures import HALF, LOG, LOG_SPEC, change_log, fold_sql, half, table
+from millrace.plans.fixtures import HALF, LOG, LOG_SPEC, change_log, drops, fold_sql, half, table, text_feed
 from millrace.plans.registry import register
+from millrace.plans.transactions import REPLAY
 from millrace.session import work_dir
+from millrace.sinks import schemas, tables as table_sink
+from millrace.sources.feed import FEED_SCHEMA, read_feed_batch
 from millrace.spec import SchemaChange, TableSpec
+from millrace.streaming.pipeline import feed_batch, materialize
 
 
 # -- column catalogs as data: one small table per user, its columns from its events
@@ -178,3 +182,27 @@ def e9(spark, d):
         ev.stamp_ids(rows.filter(F.col("_seq") % 2 == part).select(*es.columns), es).write.parquet(f"{out}/{part}")
     es = TableSpec(new_spec.events_name, new_spec.events_schema())
     return ev.read_evolved(spark, [f"{out}/0", f"{out}/1"], es).select("_op", "_seq", *new_spec.columns)
+
+
+@register("e8_change_inside_stream", f"""with {REPLAY},
+last as (select user_id, slot, arg_max(lsn, ord) as lsn, arg_max(pos, ord) as pos from r group by 1, 2)
+select f.user_id, f.slot, f.value, f.props, case when last.lsn >= {HALF} * 10 then last.pos end as score
+from f join last on last.user_id = f.user_id and last.slot = f.slot where f.op <> 'D'""")
+def e8_stream(spark, d):
+    """The change is a row of the feed, between rows of open transactions; the whole pipeline follows it."""
+    root = work_dir(spark, "e8")
+    feed, edge = text_feed(spark, d), half(spark, d) * 10
+    wide = F.map_concat("after", F.create_map(F.lit("score"), F.col("pos").cast("string")))
+    rows = feed.withColumn("after", F.when(F.col("after").isNotNull() & (F.col("lsn") >= edge), wide).otherwise(F.col("after")))
+    change = SchemaChange(added=(("score", "bigint"),)).to_map()
+    at = table(spark, d, "events").agg((F.floor((F.max("event_id") + 1) / 2) * 10).alias("lsn"))
+    marker = at.select(
+        F.lit(LOG_SPEC.name).alias("table"), F.lit("SCHEMA_CHANGE").alias("op"), F.lit(0).cast("bigint").alias("xid"), "lsn",
+        F.create_map(*[F.lit(x) for kv in change.items() for x in kv]).alias("after"))
+    whole = rows.unionByName(marker, allowMissingColumns=True).select(*FEED_SCHEMA.names)
+    for i, part in enumerate(drops(whole, 2)):
+        part.write.parquet(f"{root}/in/{i}")
+        feed_batch(read_feed_batch(spark, f"{root}/in/{i}"), i, [LOG_SPEC], f"{root}/events")
+        materialize(spark, [LOG_SPEC], f"{root}/events", f"{root}/tables")
+    now, = schemas.latest(spark, f"{root}/events", [LOG_SPEC])
+    return table_sink.read_state(spark, f"{root}/tables", now)

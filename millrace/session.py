@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settings every operator relies on for right results. Sizing knobs (shuffle
@@ -59,3 +62,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
             _local_base = tempfile.mkdtemp(prefix="millrace-")
         base = _local_base
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def together(spark: SparkSession, tasks: Sequence[Callable], width: int = 16) -> list:
+    """Run independent Spark actions at the same time, so that small tables do
+    not leave the cluster idle. All finish before the first error is raised."""
+    if len(tasks) < 2:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(min(width, len(tasks))) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(t)) for t in tasks]
+    return [f.result() for f in futures]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from millrace.functions.transforms import partition_fields, partition_path, with_partitions
 from millrace.operators import mor
@@ -70,12 +70,15 @@ def partition_map(spec: TableSpec) -> dict[str, list[str]]:
     return {data_name(spec): parts} if parts else {}
 
 
-def read_parts(spark: SparkSession, root: str, spec: TableSpec, as_of: int | None = None
-               ) -> tuple[DataFrame, DataFrame]:
-    """Visible data and delete rows since the last compaction at or before ``as_of``."""
-    entries = commits.heads(spark, root) if as_of is None else commits.log(spark, root).filter(
-        F.col(COMMIT) <= as_of).groupBy("table", "kind").agg(F.max(COMMIT).alias("commit")).collect()
-    top = max((r["commit"] for r in entries), default=-1)
+def read_parts(spark: SparkSession, root: str, spec: TableSpec, as_of: int | None = None,
+               entries: Sequence[Row] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Visible data and delete rows since the last compaction at or before ``as_of``.
+
+    ``entries`` are the heads of the log when the caller has read them already.
+    """
+    if entries is None:
+        entries = commits.heads(spark, root, as_of)
+    top = commits.top_commit(entries)
     start = max((r["commit"] - 1 for r in entries
                  if r["table"] == data_name(spec) and r["kind"] == "base"), default=-1)
     data = commits.read_table(spark, root, data_name(spec), spec.schema, top, start)
@@ -91,12 +94,14 @@ def read_state(spark: SparkSession, root: str, spec: TableSpec, as_of: int | Non
 
 def compact(spark: SparkSession, root: str, spec: TableSpec, rows_per_file: int | None = None) -> int:
     """Rewrite a table's live rows as a new base; readers need no deletes before it."""
-    commit = commits.last_commit(spark, root) + 1
-    rows = with_partitions(stamp_ids(read_state(spark, root, spec), spec),
-                           partition_fields(spec.partition, spec))
+    entries = commits.heads(spark, root)
+    commit = commits.top_commit(entries) + 1
+    data, deletes = read_parts(spark, root, spec, entries=entries)
+    live = mor.scan(data, deletes, spec.pk).select(*spec.columns)
+    rows = with_partitions(stamp_ids(live, spec), partition_fields(spec.partition, spec))
     commits.commit_tables(
         spark, root, commit, {data_name(spec): rows}, kind="base", partition_by=partition_map(spec),
-        mark=max(commits.last_mark(spark, root), 0), cluster=True,
+        mark=max(commits.top_mark(entries), 0), cluster=True,
         rows_per_file={data_name(spec): rows_per_file} if rows_per_file else None,
     )
     return commit

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace
 
@@ -90,6 +91,15 @@ class SchemaChange:
     def __bool__(self) -> bool:
         return bool(self.added or self.dropped or self.retyped)
 
+    def to_map(self) -> dict[str, str]:
+        """As the row image of a SCHEMA_CHANGE feed row."""
+        return {k: json.dumps(getattr(self, k)) for k in ("added", "dropped", "retyped")}
+
+    @classmethod
+    def from_map(cls, image: dict[str, str]) -> SchemaChange:
+        lists = {k: json.loads(image.get(k) or "[]") for k in ("added", "dropped", "retyped")}
+        return cls(tuple(map(tuple, lists["added"])), tuple(lists["dropped"]), tuple(map(tuple, lists["retyped"])))
+
 
 def _field(name: str, source_type: str, nullable: bool, field_id: int) -> T.StructField:
     return T.StructField(
@@ -215,6 +225,17 @@ class TableSpec:
             raise ValueError(f"{self.name}: a primary key is required")
         return self
 
+    # -- storage ----------------------------------------------------------
+
+    def to_json(self) -> str:
+        """What evolution changes: columns with their ids, and the highest id ever used."""
+        return json.dumps({"schema": self.schema.jsonValue(), "last_field_id": self.last_field_id})
+
+    def with_json(self, text: str) -> TableSpec:
+        """This table at the stored version of its columns."""
+        stored = json.loads(text)
+        return replace(self, schema=T.StructType.fromJson(stored["schema"]), last_field_id=stored["last_field_id"])
+
     # -- evolution --------------------------------------------------------
 
     def evolve(self, change: SchemaChange) -> TableSpec:

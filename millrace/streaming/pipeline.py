@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,10 +12,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.apply import resolve_parts, unresolved
 from millrace.operators.envelope import dml_only, to_events, tracked
+from millrace.operators.evolve import conform_ids
 from millrace.operators.fold import as_folded, fold
 from millrace.operators.latest import latest_per_key
 from millrace.operators.transactions import NO_XID, commits as commit_rows
-from millrace.sinks import commits, events as event_sink, progress, tables
+from millrace.session import together
+from millrace.sinks import commits, events as event_sink, progress, schemas, tables
 from millrace.sources.feed import FEED_SCHEMA
 from millrace.sources.poll import poll
 from millrace.spec import TableSpec, materializable, validate
@@ -39,6 +42,9 @@ def feed_batch(batch: DataFrame, batch_id: int, specs: Sequence[TableSpec], root
     waiting = commits.read_table(spark, root, OPEN_ROWS, FEED_SCHEMA, upto=batch_id - 1, after=batch_id - 2)
     rows = dml_only(mine).select(*FEED_SCHEMA.names).unionByName(waiting.select(*FEED_SCHEMA.names))
 
+    history = schemas.versions(spark, root, specs, upto=batch_id - 1)
+    new = schemas.advance(history, schemas.changes_in(mine))
+
     # One pass tags every row with its commit; each table's write then reads the tagged rows.
     free = F.col("xid") == NO_XID
     tagged = (
@@ -51,9 +57,12 @@ def feed_batch(batch: DataFrame, batch_id: int, specs: Sequence[TableSpec], root
         ready = tagged.filter(F.col("commit_lsn").isNotNull()).withColumn("source_ts", F.col("commit_ts"))
         writes = {OPEN_ROWS: tagged.filter(F.col("commit_lsn").isNull()).select(*FEED_SCHEMA.names)}
         parts = {}
-        for spec in specs:
-            own = to_events(ready.filter(F.col("table") == spec.name), spec, lsn="commit_lsn")
+        for name, known in history.items():
+            spec = known[-1][1]
+            own = _versioned_events(ready.filter(F.col("table") == name), known)
             writes[spec.events_name], parts[spec.events_name] = event_sink.prepare_events(own, spec)
+        if new:
+            writes[schemas.SCHEMAS] = schemas.as_rows(spark, new)
         position = done.agg(F.max("commit_lsn")).first()[0]
         commits.commit_tables(spark, root, batch_id, writes, mark=position, partition_by=parts,
                               cluster=True)
@@ -64,6 +73,21 @@ def feed_batch(batch: DataFrame, batch_id: int, specs: Sequence[TableSpec], root
         progress.save_progress(spark, root, pipeline_id, {"mode": "logical", "lsn": int(position)})
 
 
+def _versioned_events(ready: DataFrame, known: schemas.Versions) -> DataFrame:
+    """Events of one table, each row read under the schema in force at its
+    position and brought to the current one by field id."""
+    current, out = known[-1][1], None
+    for i, (start, spec) in enumerate(known):
+        rows = ready
+        if i:
+            rows = rows.filter(F.col("lsn") >= start)
+        if i + 1 < len(known):
+            rows = rows.filter(F.col("lsn") < known[i + 1][0])
+        part = conform_ids(to_events(rows, spec, lsn="commit_lsn"), spec, current)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def run_feed(stream: DataFrame, specs: Sequence[TableSpec], root: str, checkpoint: str,
              pipeline_id: str | None = None, **trigger) -> StreamingQuery:
     """Start the change-feed pipeline; ``trigger`` as in ``DataStreamWriter.trigger``."""
@@ -87,25 +111,32 @@ def materialize(spark: SparkSession, specs: Sequence[TableSpec], events_root: st
     crash at any point repeats the cycle or skips it, never half of it.
     Returns the commit, or None when there was nothing to do.
     """
-    keyed = materializable(specs)
-    done = commits.last_mark(spark, root)
-    top = commits.last_commit(spark, events_root)
+    events_log, own_log = commits.heads(spark, events_root), commits.heads(spark, root)
+    done, commit = commits.top_mark(own_log), commits.top_commit(own_log) + 1
+    top = commits.top_commit(events_log)
     top = top if upto is None else min(top, upto)
-    if top <= done or not keyed:
+    if top <= done:
         return None
-    commit = commits.last_commit(spark, root) + 1
-    writes, parts, held = {}, {}, []
+    keyed = materializable(schemas.latest(spark, events_root, specs, top))
+    if not keyed:
+        return None
+    held: list[DataFrame] = []
+
+    def prepare(spec: TableSpec) -> dict[str, DataFrame]:
+        fresh = event_sink.read_events(spark, events_root, spec, after=done, upto=top)
+        folded = fold(fresh, spec, order=F.struct("_lsn", "_seq")).persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(folded)
+        ready = folded
+        # Most cycles of most tables have nothing to look up; then the table is not read at all.
+        if not unresolved(folded, spec).isEmpty():
+            data, deletes = tables.read_parts(spark, root, spec, entries=own_log)
+            ready = resolve_parts(folded, data, deletes, spec)
+        return tables.delta_writes(ready, spec, folded)
+
     try:
-        for spec in keyed:
-            fresh = event_sink.read_events(spark, events_root, spec, after=done, upto=top)
-            folded = fold(fresh, spec, order=F.struct("_lsn", "_seq")).persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(folded)
-            ready = folded
-            # Most cycles of most tables have nothing to look up; then the table is not read at all.
-            if not unresolved(folded, spec).isEmpty():
-                data, deletes = tables.read_parts(spark, root, spec)
-                ready = resolve_parts(folded, data, deletes, spec)
-            writes |= tables.delta_writes(ready, spec, folded)
+        writes, parts = {}, {}
+        for spec, own in zip(keyed, together(spark, [partial(prepare, s) for s in keyed])):
+            writes |= own
             parts |= tables.partition_map(spec)
         commits.commit_tables(spark, root, commit, writes, kind="delta", mark=top, partition_by=parts,
                               cluster=True)

@@ -10,7 +10,7 @@ from millrace.session import work_dir
 from millrace.sinks import commits, events as event_sink, progress, tables
 from millrace.sources.feed import FEED_SCHEMA, read_feed
 from millrace.sources.snapshot import pending_tables
-from millrace.spec import TableSpec
+from millrace.spec import SchemaChange, TableSpec
 from millrace.streaming import pipeline
 from millrace.streaming.gate import gate
 from tests.feeds import NOW, control, dml, feed, numbered, rows
@@ -62,16 +62,15 @@ def test_two_tables_become_visible_together(spark, monkeypatch):
     specs = [ORDERS, PAYMENTS]
     pipeline.feed_batch(feed(spark, [*one_tx(ORDERS, 1, 1, 2), *one_tx(PAYMENTS, 1, 7), control("COMMIT", 1, 199)]),
                         0, specs, ev)
-    written, real = [], commits.write_part
+    real = commits.write_part
 
-    def dies_after_one(df, root, table, *a, **k):
-        if written:
+    def dies_for_one(df, root, table, *a, **k):
+        if table == "payments/data":
             raise OSError("lost")
-        written.append(table)
         real(df, root, table, *a, **k)
 
     with monkeypatch.context() as m:
-        m.setattr(commits, "write_part", dies_after_one)
+        m.setattr(commits, "write_part", dies_for_one)
         with pytest.raises(OSError):
             pipeline.materialize(spark, specs, ev, tb)
     assert [tables.read_state(spark, tb, s).count() for s in specs] == [0, 0]
@@ -188,3 +187,35 @@ def test_files_keep_field_ids(spark):
     path = glob.glob(ev.removeprefix("file:") + "/counted_events/_commit=0/*/*.parquet")[0]
     ids = {f.name: int(f.metadata[b"PARQUET:field_id"]) for f in pq.read_schema(path)}
     assert ids == {"_op": 1, "_lsn": 2, "_ts": 3, "_seq": 4, "_unchanged_cols": 5, "id": 6, "value": 7}
+
+
+def test_schema_changes_in_the_stream(spark):
+    """Changes arrive between rows, in the middle of an open transaction and of a batch."""
+    spec = TableSpec.of("public.t", [("id", "integer", False), ("v", "integer"), ("note", "text")], pk=["id"])
+    ev, tb = work_dir(spark, "t"), work_dir(spark, "t")
+
+    def change(lsn, **kw):
+        return (spec.name, "SCHEMA_CHANGE", 0, lsn, lsn, NOW, NOW, None, SchemaChange(**kw).to_map(), None)
+
+    def row(op, xid, pos, unchanged=(), **values):
+        return dml(spec, op, {k: str(v) for k, v in values.items()}, unchanged, xid=xid, pos=pos)
+
+    batches = [
+        [row("I", 1, 1, id=1, v=1, note="old"), row("I", 2, 2, id=2, v=2, note="old"), control("COMMIT", 1, 3)],
+        # Transaction 2 is still open when the column is dropped, comes back with a new id, and v widens.
+        [change(5, dropped=("note",), retyped=(("v", "bigint"),)), row("I", 3, 6, id=3, v=3000000000),
+         change(7, added=(("note", "text"), ("score", "integer"))), row("I", 3, 8, id=4, v=4, note="new", score=40),
+         control("COMMIT", 3, 9)],
+        [control("COMMIT", 2, 10), row("U", 4, 11, id=1, v=10, note="new", score=100), control("COMMIT", 4, 12)],
+        [row("U", 5, 13, ["note"], id=4, v=44, score=41), control("COMMIT", 5, 14)],
+    ]
+    for i, b in enumerate(batches):
+        for _ in range(2 if i == 1 else 1):  # a repeated batch must not apply its changes twice
+            pipeline.feed_batch(feed(spark, b), i, [spec], ev)
+        pipeline.materialize(spark, [spec], ev, tb)
+    from millrace.sinks import schemas
+
+    now, = schemas.latest(spark, ev, [spec])
+    assert now.columns == ["id", "v", "note", "score"] and now.field_id("note") == 4
+    assert rows(tables.read_state(spark, tb, now), now) == [
+        (1, 10, "new", 100), (2, 2, None, None), (3, 3000000000, None, None), (4, 44, "new", 41)]
