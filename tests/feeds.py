@@ -37,12 +37,12 @@ def numbered(spec, ops, start=1):
 
 def run_batches(spark, spec, batches):
     """Fold and apply each batch in turn, in memory; returns the final rows sorted by key."""
-    state, pos = spark.createDataFrame([], spec.schema), 1
+    state, pos = [], 1
     for ops in batches:
         events = to_events(feed(spark, numbered(spec, ops, pos)), spec)
-        state = apply(state, fold(events, spec), spec)
+        state = rows(apply(spark.createDataFrame(state, spec.schema), fold(events, spec), spec), spec)
         pos += len(ops)
-    return rows(state, spec)
+    return state
 
 
 def rows(df, spec, *cols):

@@ -13,6 +13,8 @@ from millrace.plans.fixtures import LOG_SPEC, change_log, table
 from millrace.session import work_dir
 from millrace.sinks import tables
 
+pytestmark = pytest.mark.default_conf
+
 # Queries that run jobs while they are built; their operators are covered by the others.
 RUNS_JOBS = ("w", "k", "m9", "t8", "s4", "s10", "p19", "e2", "e3", "e4", "e5", "e6", "e7", "e8", "e9", "x14", "x18")
 
