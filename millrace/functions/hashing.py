@@ -48,7 +48,7 @@ def _xor_shift(value: Column, *shifts: int) -> Column:
     return out
 
 
-def _steps(value: Column, *steps) -> Column:
+def stepwise(value: Column, *steps) -> Column:
     """Apply steps that each use their input several times. A one-element array
     carries the value, so it is computed once and the expression stays small."""
     carrier = F.array(value)
@@ -58,7 +58,7 @@ def _steps(value: Column, *steps) -> Column:
 
 
 def _finalize(value: Column) -> Column:
-    return _steps(
+    return stepwise(
         value,
         lambda h: _times(_xor_shift(h, 16), _F1),
         lambda h: _times(_xor_shift(h, 13), _F2),
@@ -67,7 +67,7 @@ def _finalize(value: Column) -> Column:
 
 
 def _unfinalize(value: Column) -> Column:
-    return _steps(
+    return stepwise(
         value,
         lambda h: _times(_xor_shift(h, 16), _F2_INV),
         lambda h: _times(_xor_shift(h, 13, 26), _F1_INV),

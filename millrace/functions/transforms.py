@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from millrace.functions.hashing import murmur3_bytes, murmur3_fixed, murmur3_text
+from millrace.functions.hashing import murmur3_bytes, murmur3_fixed, murmur3_text, stepwise
 from millrace.spec import FIELD_ID, TableSpec
 
 NULL_PART = "__null__"
@@ -156,7 +156,7 @@ def bucket(n: int, col: Column, dtype: T.DataType, spec: bool = False) -> Column
     (integers widened to 8 bytes, signed decimals) instead of the default
     (4-byte integers, decimal magnitudes)."""
     if isinstance(dtype, T.DecimalType):
-        h = murmur3_bytes(_decimal_bytes(col, dtype, signed=spec))
+        h = stepwise(_decimal_bytes(col, dtype, signed=spec), murmur3_bytes)
     elif isinstance(dtype, T.BinaryType):
         h = murmur3_bytes(col)
     elif isinstance(dtype, T.StringType):
@@ -208,20 +208,21 @@ def _decimal_bytes(col: Column, dtype: T.DecimalType, signed: bool) -> Column:
         whole = F.regexp_replace(col.cast("string"), "[-.]", "").cast("decimal(38,0)")
         whole = F.when(col < 0, whole - 1).otherwise(whole).cast("decimal(38,0)") if signed else whole
         part = F.lit(_PART).cast("decimal(20,0)")
-        high = _div(whole, part)
-        digits = F.concat(
-            F.hex(_div(high, part).cast("bigint")),
-            F.lpad(F.hex((high % part).cast("bigint")), 15, "0"),
-            F.lpad(F.hex((whole % part).cast("bigint")), 15, "0"),
-        )
-    digits = F.ltrim(digits, F.lit("0"))
-    digits = F.when(F.length(digits) % 2 == 1, F.concat(F.lit("0"), digits)).otherwise(digits)
+
+        def tail(value: Column) -> Column:
+            return F.lpad(F.hex((value % part).cast("bigint")), 15, "0")
+
+        digits = stepwise(whole, lambda w: F.struct(_div(w, part).alias("high"), tail(w).alias("low")),
+                          lambda s: F.concat(F.hex(_div(s["high"], part).cast("bigint")), tail(s["high"]), s["low"]))
+    even = (
+        lambda x: F.ltrim(x, F.lit("0")),
+        lambda x: F.when(F.length(x) % 2 == 1, F.concat(F.lit("0"), x)).otherwise(x),
+    )
     if not signed:
-        return F.unhex(digits)
+        return F.unhex(stepwise(digits, *even))
     # A sign bit must lead: pad when the top bit is taken, then invert for negatives.
-    digits = F.when(
-        (digits == "") | (F.substring(digits, 1, 1) >= "8"), F.concat(F.lit("00"), digits)
-    ).otherwise(digits)
+    digits = stepwise(digits, *even, lambda x: F.when(
+        (x == "") | (F.substring(x, 1, 1) >= "8"), F.concat(F.lit("00"), x)).otherwise(x))
     inverted = F.translate(digits, "0123456789ABCDEF", "FEDCBA9876543210")
     return F.unhex(F.when(col < 0, inverted).otherwise(digits))
 

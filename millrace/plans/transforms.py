@@ -9,13 +9,14 @@ from millrace.plans.fixtures import table
 from millrace.plans.registry import register
 from millrace.spec import TableSpec
 
-# -- SQL counterpart of Murmur3, in HUGEINT arithmetic -----------------------
+# -- SQL counterpart of Murmur3, in 64-bit arithmetic -------------------------
 
 M32 = "4294967296"
 
 
 def _mul(a: str, b: int) -> str:
-    return f"(({a})::hugeint * {b} % {M32})::bigint"
+    # Two 32-bit factors always fit an unsigned 64-bit product.
+    return f"((({a})::ubigint * {b}::ubigint) % {M32}::ubigint)::bigint"
 
 
 def _rot(a: str, r: int) -> str:
@@ -52,13 +53,12 @@ def murmur_ctes(source: str, blocks: str, n_bytes: str, tail: str | None = None,
 
 def hex_ctes(source: str, hex_col: str) -> str:
     """Murmur3 of bytes given as a hex text column."""
-    block = (f"('0x' || substr({hex_col}, 8 * i + 7, 2) || substr({hex_col}, 8 * i + 5, 2) || "
-             f"substr({hex_col}, 8 * i + 3, 2) || substr({hex_col}, 8 * i + 1, 2))::bigint")
+    block = "('0x' || substr(b, 7, 2) || substr(b, 5, 2) || substr(b, 3, 2) || substr(b, 1, 2))::bigint"
     n = f"(length({hex_col}) // 2)"
     start = f"8 * ({n} // 4)"
     tail = (f"('0x0' || substr({hex_col}, {start} + 5, 2) || substr({hex_col}, {start} + 3, 2) || "
             f"substr({hex_col}, {start} + 1, 2))::bigint")
-    blocks = f"list_transform(range(0, {n} // 4), lambda i: {block})"
+    blocks = f"list_transform(regexp_extract_all({hex_col}, '.{{8}}'), lambda b: {block})"
     return murmur_ctes(source, blocks, n, tail)
 
 
