@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from . import queries_simhash as simhash
+from . import queries_toxicity as toxicity
 
 QUERIES = {
     "op4_simhash_near_dedup": (simhash.op4_simhash_near_dedup, None),
+    "op7_toxicity": (toxicity.op7_toxicity, None),
 }
