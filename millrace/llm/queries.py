@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from . import queries_quality as quality
 from . import queries_simhash as simhash
 from . import queries_toxicity as toxicity
+from . import queries_urls as urls
 
 QUERIES = {
     "op4_simhash_near_dedup": (simhash.op4_simhash_near_dedup, None),
+    "op6_quality_rules": (quality.op6_quality_rules, quality.OP6_SQL),
     "op7_toxicity": (toxicity.op7_toxicity, None),
+    "op8_url_filter": (urls.op8_url_filter, None),
 }
