@@ -6,7 +6,7 @@ import traceback
 
 sys.path.insert(0, __file__.rsplit("/", 2)[0])
 
-from millrace.plans import load_all  # noqa: E402
+from __spark_entry__ import _registered  # noqa: E402
 from millrace.session import local_session  # noqa: E402
 from tests.oracle import compare, duck  # noqa: E402
 
@@ -14,7 +14,7 @@ if __name__ == "__main__":
     sf, wanted = sys.argv[1], sys.argv[2:]
     spark, con = local_session(), duck(sf)
     bad = 0
-    for name, (fn, sql) in sorted(load_all().items()):
+    for name, (fn, sql) in sorted(_registered().items()):
         if wanted and not any(name.startswith(w) for w in wanted):
             continue
         t = time.time()
