@@ -87,29 +87,70 @@ def partitions(spark: SparkSession, rows: int, each: int, most: int = 1 << 20) -
     return max(spark.sparkContext.defaultParallelism, min(most, -(-rows // each)))
 
 
-def components(edges: DataFrame) -> DataFrame:
+SALTS = 8
+
+
+class Forest:
+    """Union-find over integers; roots are the least member."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        up = self.up
+        r = x
+        while up.get(r, r) != r:
+            r = up[r]
+        while x != r:
+            up[x], x = r, up.get(x, x)
+        return r
+
+    def join(self, a: int, b: int) -> bool:
+        """Link two trees; false if they were one."""
+        a, b = self.root(a), self.root(b)
+        if a == b:
+            return False
+        self.up[max(a, b)] = min(a, b)
+        return True
+
+
+def _contract(batches):
+    """Rows (node, other) of a task to its stars (a, b): each node under the least node it is linked with here. ``open``
+    tells that some node had two parents, or a parent and children, so that another round is needed."""
+    forest, parents, inner, open_ = Forest(), {}, set(), False
+    for batch in batches:
+        for node, other in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            forest.join(node, other)
+            if other < node:
+                open_ = open_ or parents.setdefault(node, other) != other
+            else:
+                inner.add(node)
+    open_ = open_ or any(n in parents for n in inner)
+    nodes = list(forest.up)
+    if nodes:
+        roots = [forest.root(n) for n in nodes]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes, pa.int64()), pa.array(roots, pa.int64()), pa.array([open_] * len(nodes))], names=["a", "b", "open"]
+        )
+
+
+def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """Connected components of ``edges(a, b)``: rows ``(node, component)`` with the least reachable node.
 
-    Two star steps alternate until nothing changes: every node hangs its larger neighbours on its least neighbour,
-    then its smaller ones. Rounds are logarithmic in the component's width; each is an aggregation by node with
-    partial sums, so a node with very many links costs one row per task. Each round is written to the shared folder.
-    """
-    edges = stored(edges.where("a <> b").select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).distinct(), "edges")
-    if edges.isEmpty():
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    done = False
-    while not done:
-        both = edges.unionByName(edges.select(F.col("a").alias("b"), F.col("b").alias("a")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b > m").select(F.col("b").alias("a"), "m").unionByName(least)
-        after = stored(small.select("a", F.col("m").alias("b")).distinct(), "edges")
-        change = after.select("a", "b", F.lit(1).alias("s")).unionByName(edges.select("a", "b", F.lit(-1).alias("s")))
-        done = change.groupBy("a", "b").agg(F.sum("s").alias("s")).where("s <> 0").isEmpty()
-        edges = after
-    roots = edges.select(F.col("b").alias("node")).distinct()
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        roots.select("node", F.col("node").alias("component"))
-    )
-
+    Each round deals the links out by node, once by either end, and every task hangs its linked nodes on their least
+    one; paths shrink by half at least. The children of a node go to ``SALTS`` places, its parents to each of them, so a
+    node with very many children is not one task. Rounds are written to the shared folder. With ``rounds`` it stops
+    early: labels are then of connected nodes, though a component may still have several."""
+    edges = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b"), "edges")
+    done = 0
+    while rounds is None or done < rounds:
+        down = edges.select(F.col("b").alias("node"), F.col("a").alias("other"), F.pmod(F.xxhash64("a"), F.lit(SALTS)).alias("salt"))
+        up = edges.select(F.col("a").alias("node"), F.col("b").alias("other"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+        dealt = up.unionByName(down).repartition("node", "salt").select("node", "other")
+        edges = stored(dealt.mapInArrow(_contract, "a long, b long, open boolean"), "edges")
+        done += 1
+        if rounds is None and edges.where("open").isEmpty():
+            break
+    stars = edges.groupBy("a").agg(F.min("b").alias("b"))
+    roots = edges.select(F.col("b").alias("node")).distinct().join(stars.select(F.col("a").alias("node")), "node", "left_anti")
+    return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, components, fields, raw, stored
+from .common import Forest, arrow_map, components, fields, raw, stored
 
 CELL = 2048
 PIVOTS = 16
@@ -108,29 +108,6 @@ def cross_pairs(left: np.ndarray, right: np.ndarray, max_bits: int, rows: int =
         yield left[i], right[j]
 
 
-class Forest:
-    """Union-find that remembers which links joined two trees."""
-
-    def __init__(self):
-        self.up: dict[int, int] = {}
-
-    def root(self, x: int) -> int:
-        up = self.up
-        r = x
-        while up.get(r, r) != r:
-            r = up[r]
-        while x != r:
-            up[x], x = r, up.get(x, x)
-        return r
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.root(a), self.root(b)
-        if a == b:
-            return False
-        self.up[max(a, b)] = min(a, b)
-        return True
-
-
 def _groups(batches):
     """Arrow batches sorted by all columns but the last two (side, fp), re-cut so that no group spans two pieces."""
     held: list[list[np.ndarray]] = []
@@ -194,13 +171,13 @@ def _linked(rows: DataFrame, max_bits: int) -> DataFrame:
 def links(fps: DataFrame, max_bits: int = 4, blocks: int = 6) -> DataFrame:
     """Links ``(a, b)`` between distinct fingerprints ``fp`` that span every group within ``max_bits``.
 
-    First pass: rows that differ inside one block only (a bucket holds at most one row per value of that block). Its
-    components label the rows. Second pass: all buckets, but only pairs of rows with different labels are left to
+    First pass: rows that differ inside one block only (a bucket holds at most one row per value of that block). They
+    label the rows, as far as two rounds get. Second pass: all buckets, but only pairs of rows with different labels are left to
     find; per bucket the rows outside the most common label meet all rows, in cells of ``CELL``."""
     zero = F.lit(0)
     once = _keyed(fps, blocks - 1, blocks)
     first = stored(_linked(once.select("bucket", zero.alias("x"), zero.alias("y"), F.explode(F.array(zero, zero + 1)).alias("side"), "fp"), max_bits), "links")
-    names = components(first).withColumnRenamed("node", "fp")
+    names = components(first, rounds=2).withColumnRenamed("node", "fp")
     rows = stored(fps.join(names, "fp", "left").select("fp", F.coalesce("component", "fp").alias("grp")), "labelled")
     keyed = _keyed(rows, blocks - max_bits, blocks)
     per = keyed.groupBy("bucket", "grp").agg(F.count("*").alias("n"))
