@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from . import queries_licenses as licenses
 from . import queries_quality as quality
 from . import queries_simhash as simhash
+from . import queries_token_files as token_files
 from . import queries_toxicity as toxicity
 from . import queries_urls as urls
 
@@ -12,4 +14,6 @@ QUERIES = {
     "op6_quality_rules": (quality.op6_quality_rules, quality.OP6_SQL),
     "op7_toxicity": (toxicity.op7_toxicity, None),
     "op8_url_filter": (urls.op8_url_filter, None),
+    "op9_license_scan": (licenses.op9_license_scan, None),
+    "op10_token_files": (token_files.op10_token_files, None),
 }
