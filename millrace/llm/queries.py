@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import queries_licenses as licenses
+from . import queries_pieces as pieces
 from . import queries_quality as quality
 from . import queries_simhash as simhash
 from . import queries_token_files as token_files
@@ -10,6 +11,7 @@ from . import queries_toxicity as toxicity
 from . import queries_urls as urls
 
 QUERIES = {
+    "op1_sentencepiece_nbest": (pieces.op1_sentencepiece_nbest, None),
     "op4_simhash_near_dedup": (simhash.op4_simhash_near_dedup, None),
     "op6_quality_rules": (quality.op6_quality_rules, quality.OP6_SQL),
     "op7_toxicity": (toxicity.op7_toxicity, None),
