@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import queries_chat as chat
+from . import queries_decontaminate as decontaminate
 from . import queries_licenses as licenses
 from . import queries_pieces as pieces
 from . import queries_quality as quality
@@ -12,7 +14,9 @@ from . import queries_urls as urls
 
 QUERIES = {
     "op1_sentencepiece_nbest": (pieces.op1_sentencepiece_nbest, None),
+    "op3_benchmark_decontamination": (decontaminate.op3_benchmark_decontamination, None),
     "op4_simhash_near_dedup": (simhash.op4_simhash_near_dedup, None),
+    "op5_chat_format": (chat.op5_chat_format, None),
     "op6_quality_rules": (quality.op6_quality_rules, quality.OP6_SQL),
     "op7_toxicity": (toxicity.op7_toxicity, None),
     "op8_url_filter": (urls.op8_url_filter, None),

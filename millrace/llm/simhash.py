@@ -194,31 +194,32 @@ def links(fps: DataFrame, max_bits: int = 4, blocks: int = 6) -> DataFrame:
     return first.unionByName(_linked(right.unionByName(left), max_bits))
 
 
-def dedupe_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4, blocks: int = 6) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``fp`` and ``component_id``, the least id in reach.
+def groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks: int = 6) -> DataFrame:
+    """``docs(doc_id, text, ...)`` with the text replaced by ``fp``, ``grp`` (a fingerprint that names the group) and
+    ``component_id`` (the group's least id).
 
     Rows with a null id keep it and don't lower a group's id; a group without any id has a null component. Null, empty
     and blank texts share fingerprint 0 and are linked like others. Repeated rows stay, each with its group's id.
     """
-    base = stored(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", shingle, ("text",)), "fps")
+    base = stored(fingerprints(docs, "text", shingle, ("text",)), "fps")
     reps = stored(base.groupBy("fp").agg(F.min("doc_id").alias("least")), "reps")
-    groups = components(links(reps.select("fp"), max_bits, blocks)).withColumnsRenamed({"node": "fp", "component": "grp"})
-    known = reps.join(groups, "fp", "left").withColumn("grp", F.coalesce("grp", "fp"))
+    found = components(links(reps.select("fp"), max_bits, blocks)).withColumnsRenamed({"node": "fp", "component": "grp"})
+    known = reps.join(found, "fp", "left").withColumn("grp", F.coalesce("grp", "fp"))
     ids = known.groupBy("grp").agg(F.min("least").alias("component_id"))
-    by_fp = known.join(ids, "grp").select("fp", "component_id")
-    return base.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    return base.join(known.join(ids, "grp").select("fp", "grp", "component_id"), "fp")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4, blocks: int = 6) -> DataFrame:
-    """``docs`` less all but one row of each group of near copies: the row of the least id stays (of repeated ids, the
-    one with the smallest hash of its text). Rows with a null id fall to the group's row that has one."""
-    at = docs.withColumn("__row", F.xxhash64(F.col(text)))
-    ids = dedupe_ids(docs, doc_id, text, shingle, max_bits, blocks)
-    keep = ids.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.min("fp").alias("fp"))
-    first = at.join(keep.select(F.col("doc_id").alias("__id")), F.col(doc_id).eqNullSafe(F.col("__id")), "left_semi")
-    least = first.groupBy(F.col(doc_id).alias("__id")).agg(F.min("__row").alias("__least"), F.count("*").alias("__n"))
-    if least.where("__n > 1").isEmpty():
-        return first.drop("__row").select(*docs.columns)
-    names = docs.columns
-    one = first.join(least, F.col(doc_id).eqNullSafe(F.col("__id")) & F.col("__row").eqNullSafe(F.col("__least")))
-    return one.dropDuplicates([doc_id]).select(*names)
+    """``docs`` less all but one row of each group of near copies; columns unchanged. The row of the least id stays (of
+    rows that repeat this id, the one with the least hash of its columns); in a group without ids, the least hash."""
+    key, names = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]), docs.columns
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), key.alias("row"))
+    first = groups(rows, shingle, max_bits, blocks).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keep = stored(first.groupBy("grp").agg(F.min("doc_id").alias("__id"), F.min("row").alias("__row"), F.count("*").alias("__n")), "keep")
+    # equal rows cannot be told apart by id and hash; they are dropped here only where a group has several rows of its id
+    held = docs.withColumn("__key", key)
+    kept = held.join(keep, F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__row")), "inner")
+    once = kept.where("__n = 1")
+    if not keep.where("__n > 1").isEmpty():
+        once = once.unionByName(kept.where("__n > 1").dropDuplicates(["__key", "__id"]))
+    return once.select(*[F.col(f"`{c}`") for c in names])
