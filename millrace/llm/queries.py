@@ -6,6 +6,7 @@ from . import queries_chat as chat
 from . import queries_decontaminate as decontaminate
 from . import queries_licenses as licenses
 from . import queries_pieces as pieces
+from . import queries_pitman_yor as pitman_yor
 from . import queries_quality as quality
 from . import queries_simhash as simhash
 from . import queries_token_files as token_files
@@ -14,6 +15,7 @@ from . import queries_urls as urls
 
 QUERIES = {
     "op1_sentencepiece_nbest": (pieces.op1_sentencepiece_nbest, None),
+    "op2_pitman_yor_score": (pitman_yor.op2_pitman_yor_score, None),
     "op3_benchmark_decontamination": (decontaminate.op3_benchmark_decontamination, None),
     "op4_simhash_near_dedup": (simhash.op4_simhash_near_dedup, None),
     "op5_chat_format": (chat.op5_chat_format, None),
