@@ -235,22 +235,38 @@ def _div(value: Column, by: Column) -> Column:
 # -- paths -------------------------------------------------------------------
 
 
+# Escapes of a value in a path, in the order they are made.
+PATH_ESCAPES = (("%", "%25"), ("/", "%2F"), ("=", "%3D"))
+
+
 def partition_path(fields: Sequence[PartitionField] | Sequence[str]) -> Column:
-    """``name=value/name=value`` from the partition columns, nulls as ``__null__``."""
+    """``name=value/name=value`` from the partition columns, nulls as ``__null__``.
+
+    ``%``, ``/`` and ``=`` inside a value are escaped, and so is a value that reads
+    ``__null__`` itself, so every path has one reading."""
     names = [f if isinstance(f, str) else f.name for f in fields]
-    return F.concat_ws("/", *[
-        F.concat(F.lit(f"{n}="), F.coalesce(F.col(n).cast("string"), F.lit(NULL_PART)))
-        for n in names
-    ])
+
+    def shown(n: str) -> Column:
+        text = F.col(n).cast("string")
+        for mark, code in PATH_ESCAPES:
+            text = F.replace(text, F.lit(mark), F.lit(code))
+        text = F.when(text == NULL_PART, F.concat(F.lit("%5F"), F.substring(text, 2, len(NULL_PART)))).otherwise(text)
+        return F.concat(F.lit(f"{n}="), F.coalesce(text, F.lit(NULL_PART)))
+
+    return F.concat_ws("/", *[shown(n) for n in names])
 
 
 def parse_partition_path(path: Column, fields: Sequence[PartitionField]) -> Column:
     """Struct of typed partition values read back from a path."""
     parts = F.str_to_map(path, F.lit("/"), F.lit("="))
-    return F.struct(*[
-        F.nullif(F.element_at(parts, f.name), F.lit(NULL_PART)).cast(f.result_type).alias(f.name)
-        for f in fields
-    ])
+
+    def value(f: PartitionField) -> Column:
+        text = F.nullif(F.element_at(parts, f.name), F.lit(NULL_PART))
+        for mark, code in (("_", "%5F"), *reversed(PATH_ESCAPES)):
+            text = F.replace(text, F.lit(code), F.lit(mark))
+        return text.cast(f.result_type).alias(f.name)
+
+    return F.struct(*[value(f) for f in fields])
 
 
 def partition_dir(file_path: Column) -> Column:

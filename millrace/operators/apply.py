@@ -8,20 +8,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.names import pk_equal
 from millrace.operators.fold import known_flag
-from millrace.operators.mor import COMMIT, scan
+from millrace.operators.mor import COMMIT, keys_match, scan
 from millrace.spec import TableSpec
 
 
-def _on(pk: Sequence[str], null_safe: bool) -> Column:
-    """Keys are NOT NULL in the source, so plain equality is the default: it lets
-    the join reuse the partitioning of the fold. ``null_safe`` costs a shuffle."""
-    if null_safe:
-        return pk_equal("f", "b", pk)
-    cond = None
-    for c in pk:
-        one = F.col(f"f.{c}") == F.col(f"b.{c}")
-        cond = one if cond is None else cond & one
-    return cond
+def _on(spec: TableSpec, null_safe: bool) -> Column:
+    """Key columns declared NOT NULL are compared plainly, which lets the join reuse
+    the partitioning of the fold; nullable ones, or all with ``null_safe``, null-safely."""
+    return keys_match(spec.pk, spec.pk if null_safe else spec.nullable_keys)
 
 
 def unresolved(folded: DataFrame, spec: TableSpec) -> DataFrame:
@@ -44,7 +38,7 @@ def resolve(folded: DataFrame, base: DataFrame, spec: TableSpec, null_safe: bool
     need = unresolved(folded, spec).select(*spec.pk)
     hits = (
         base.select(*spec.pk, *spec.resolvable).alias("b")
-        .join(need.alias("f"), _on(spec.pk, null_safe), "left_semi")
+        .join(need.alias("f"), _on(spec, null_safe), "left_semi")
     )
     return fill(folded, hits, spec, null_safe)
 
@@ -56,15 +50,16 @@ def resolve_parts(folded: DataFrame, data: DataFrame, deletes: DataFrame, spec:
     if not spec.resolvable:
         return folded
     need = unresolved(folded, spec).select(*spec.pk)
-    few_data = data.select(COMMIT, *spec.pk, *spec.resolvable).join(need, list(spec.pk), "left_semi")
-    few_deletes = deletes.select(COMMIT, *spec.pk).join(need, list(spec.pk), "left_semi")
-    return fill(folded, scan(few_data, few_deletes, spec.pk), spec)
+    on = _on(spec, False)
+    few_data = data.select(COMMIT, *spec.pk, *spec.resolvable).alias("f").join(need.alias("b"), on, "left_semi")
+    few_deletes = deletes.select(COMMIT, *spec.pk).alias("f").join(need.alias("b"), on, "left_semi")
+    return fill(folded, scan(few_data, few_deletes, spec.pk, nullable=spec.nullable_keys), spec)
 
 
 def fill(folded: DataFrame, hits: DataFrame, spec: TableSpec, null_safe: bool = False) -> DataFrame:
     """Unknown columns from ``hits`` (one row per key), known ones as folded."""
     cols = spec.resolvable
-    joined = folded.alias("f").join(hits.alias("b"), _on(spec.pk, null_safe), "left")
+    joined = folded.alias("f").join(hits.alias("b"), _on(spec, null_safe), "left")
     return joined.select(
         *[F.col(f"f.{c}").alias(c) for c in (*spec.pk, "op", "seq")],
         *[
@@ -88,7 +83,7 @@ def apply(base: DataFrame, folded: DataFrame, spec: TableSpec, null_safe: bool =
     """
     if narrow:
         return _apply_narrow(base, folded, spec, null_safe)
-    joined = base.select(*spec.columns).alias("b").join(folded.alias("f"), _on(spec.pk, null_safe), "full_outer")
+    joined = base.select(*spec.columns).alias("b").join(folded.alias("f"), _on(spec, null_safe), "full_outer")
     return _merged(joined, spec)
 
 
@@ -108,7 +103,7 @@ def _merged(joined: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def _apply_narrow(base: DataFrame, folded: DataFrame, spec: TableSpec, null_safe: bool) -> DataFrame:
-    on = _on(spec.pk, null_safe)
+    on = _on(spec, null_safe)
     kept = _merged(
         base.select(*spec.columns).alias("b").join(folded.alias("f"), on, "left"), spec
     )

@@ -59,12 +59,35 @@ def _get(side: str, feed: DataFrame, spec: TableSpec, column: str) -> Column:
     return F.col(f"{side}.{column}")
 
 
+def _carried(feed: DataFrame, spec: TableSpec) -> Column:
+    """An update under a new key, its unchanged columns filled from the before-image where that holds them."""
+    listed = F.coalesce(F.col("unchanged_cols"), F.array().cast("array<string>"))
+    is_map = isinstance(feed.schema["before"].dataType, T.MapType)
+    found = {
+        c: F.array_contains(listed, c) & (
+            F.map_contains_key("before", c) if is_map else F.col(f"before.{c}").isNotNull())
+        for c in spec.value_columns
+    }
+    fields = [
+        F.when(found[c], _get("before", feed, spec, c)).otherwise(_get("after", feed, spec, c)).alias(c)
+        if c in found else _get("after", feed, spec, c).alias(c)
+        for c in spec.columns
+    ]
+    filled = F.array(*[F.when(found[c], c) for c in found]) if found else F.array().cast("array<string>")
+    left = F.array_except(listed, filled)
+    return F.struct(
+        op_code(F.col("op")).alias("_op"), F.struct(*fields).alias("r"),
+        unchanged_csv(F.when(F.size(left) > 0, left)).alias("_unchanged_cols"),
+    )
+
+
 def to_events(feed: DataFrame, spec: TableSpec, lsn: str = "lsn", seq: str = "pos") -> DataFrame:
     """Envelope -> events rows: after-image for I and U, before-image for D.
 
     An update that changes the key becomes a delete of the old key followed by
     the update under the new key; both keep the event's position, which is safe
-    because their keys differ.
+    because their keys differ. The new key has no row to take unchanged columns
+    from, so they come from the before-image as far as it holds them.
     """
     rows = dml_only(feed)
     has_before = "before" in feed.columns
@@ -103,7 +126,7 @@ def to_events(feed: DataFrame, spec: TableSpec, lsn: str = "lsn", seq: str = "po
                 F.lit(None).cast("string").alias("_unchanged_cols"),
             )
             moved = (F.col("op") == "UPDATE") & F.col("before").isNotNull() & moved
-            parts = F.when(moved, F.array(old, main)).otherwise(F.array(main))
+            parts = F.when(moved, F.array(old, _carried(feed, spec))).otherwise(F.array(main))
     return rows.select(*meta, F.inline(parts)).select(
         "_op", "_lsn", "_ts", "_seq", "_unchanged_cols", *[F.col(f"r.{c}").alias(c) for c in spec.columns]
     )

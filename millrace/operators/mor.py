@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.spec import TableSpec
 
@@ -25,20 +25,33 @@ def split(folded: DataFrame, spec: TableSpec, commit: int | str | None = None) -
     return deletes, data
 
 
-def scan(data: DataFrame, deletes: DataFrame, pk: Sequence[str], as_of: int | None = None) -> DataFrame:
+def scan(data: DataFrame, deletes: DataFrame, pk: Sequence[str], as_of: int | None = None,
+         nullable: Sequence[str] = ()) -> DataFrame:
     """Live rows: a data row dies iff its key is deleted by a later commit.
 
     Deletes shrink to the last one per key before the join. After a compaction
     they are few: Spark broadcasts them under its size limit and the data is
     not shuffled. A commit writes a key at most once, so no key has more data
     rows than there are commits and the join cannot be skewed by a hot key.
+    ``nullable`` names key columns that may be null; there null matches null.
     """
     if as_of is not None:
         data, deletes = live_data(data, as_of), live_data(deletes, as_of)
     last = deletes.groupBy(*pk).agg(F.max(COMMIT).alias("_deleted"))
-    rows = data.join(last, list(pk), "left")
-    alive = F.col("_deleted").isNull() | (F.col("_deleted") <= F.col(COMMIT))
-    return rows.filter(alive).select(*[c for c in data.columns if c != COMMIT])
+    rows = data.alias("f").join(last.alias("b"), keys_match(pk, nullable), "left")
+    alive = F.col("_deleted").isNull() | (F.col("_deleted") <= F.col(f"f.{COMMIT}"))
+    return rows.filter(alive).select(*[F.col(f"f.{c}").alias(c) for c in data.columns if c != COMMIT])
+
+
+def keys_match(pk: Sequence[str], nullable: Sequence[str] = ()) -> Column:
+    """Sides ``f`` and ``b`` have the same key. Plain equality lets a join reuse a partitioning, so only the
+    ``nullable`` parts of a key, where null equals null, are compared null-safely."""
+    cond = None
+    for c in pk:
+        f, b = F.col(f"f.{c}"), F.col(f"b.{c}")
+        one = f.eqNullSafe(b) if c in nullable else f == b
+        cond = one if cond is None else cond & one
+    return cond
 
 
 def live_data(data: DataFrame, commit: int) -> DataFrame:

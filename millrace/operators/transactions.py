@@ -11,9 +11,10 @@ NO_XID = 0  # rows outside any transaction, such as snapshot rows
 
 
 def commits(feed: DataFrame) -> DataFrame:
-    """One row per committed transaction: xid, commit position and time."""
-    return feed.filter(F.col("op") == "COMMIT").select(
-        "xid", F.col("lsn").alias("commit_lsn"), F.col("source_ts").alias("commit_ts")
+    """One row per committed transaction: xid, commit position and time. A COMMIT
+    that was sent twice counts once, at its last position."""
+    return feed.filter(F.col("op") == "COMMIT").groupBy("xid").agg(
+        F.max("lsn").alias("commit_lsn"), F.max_by("source_ts", "lsn").alias("commit_ts")
     )
 
 
@@ -57,12 +58,12 @@ def order_key():
 
 def stamp_begin(feed: DataFrame) -> DataFrame:
     """Each DML row takes the time its transaction's BEGIN row announced."""
-    begins = feed.filter(F.col("op") == "BEGIN").select("xid", F.col("source_ts").alias("_begin_ts"))
-    rows = dml_only(feed)
-    return rows.join(begins, "xid", "left").select(
+    begins = feed.filter(F.col("op") == "BEGIN").groupBy("xid").agg(F.min("source_ts").alias("_begin_ts"))
+    inside = dml_only(feed).filter(F.col("xid") != NO_XID).join(begins, "xid", "left").select(
         *[c for c in feed.columns if c != "source_ts"],
         F.coalesce("_begin_ts", "source_ts").alias("source_ts"),
     )
+    return inside.unionByName(outside_transactions(feed).select(*inside.columns))
 
 
 def statement_numbers(rows: DataFrame, ranges: int = RANGES, name: str = "tx_seq") -> DataFrame:

@@ -125,6 +125,19 @@ def m5(spark, d):
     return mor.scan(data, deletes, LOG_SPEC.pk)
 
 
+@register("m5_null_keys", """with e as (select *, case when user_id % 5 <> 0 then user_id end as k, event_id % 3 as part from events),
+last as (select k, arg_max(event_id, event_id) as event_id from e group by k)
+select e.k, e.event_id, e.value from e join last on e.event_id = last.event_id""")
+def m5_null_keys(spark, d):
+    """Three commits write each key anew; a fifth of the rows share the null key, which is a key like any other."""
+    e = table(spark, d, "events").select(
+        F.when(F.col("user_id") % 5 != 0, F.col("user_id")).alias("k"), "event_id", "value",
+        F.floor(F.col("event_id") * 3 / table(spark, d, "events").agg(F.max("event_id") + 1).scalar()).alias("_commit"))
+    data = e.groupBy("k", "_commit").agg(F.max("event_id").alias("event_id"), F.max_by("value", "event_id").alias("value"))
+    deletes = data.select("_commit", "k")
+    return mor.scan(data.select("_commit", "k", "event_id", "value"), deletes, ["k"], nullable=["k"])
+
+
 @register("m6_affected_rows", f"""with {BASE_BATCH}
 select s.* from base s where exists (select 1 from batch b where b.user_id = s.user_id and b.slot = s.slot)""")
 def m6(spark, d):

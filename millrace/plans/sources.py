@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from millrace.operators.envelope import key_scan, parse_events, to_events
@@ -11,7 +12,10 @@ from millrace.plans.registry import register
 from millrace.sources.poll import chunks, poll, with_chunk
 from millrace.sources.relational import profile
 from millrace.sources.snapshot import select_tables, snapshot_all, snapshot_scan
+from millrace.session import work_dir
+from millrace.sinks import events as event_sink, progress
 from millrace.spec import TableSpec
+from millrace.streaming.pipeline import run_snapshot
 
 AS_OF = "2024-06-01 00:00:00"
 
@@ -42,6 +46,33 @@ def s2(spark, d):
     return feed.groupBy("table", "op").agg(F.count("*").alias("n"))
 
 
+@register("s2_resume_after_crash", """select 'public.orders' as "table", count(*) as n, 1::bigint as commits from orders
+union all select 'public.part', count(*), 1 from part""")
+def s2_resume(spark, d):
+    """The copy dies after the first table's commit, before anything of the second; the next run copies only that."""
+    root = work_dir(spark, "s2r")
+    sources = {t: table(spark, d, t) for t in ("orders", "part")}
+    specs = [TableSpec.from_df(sources["orders"], "orders", ["o_orderkey"]), TableSpec.from_df(sources["part"], "part", ["p_partkey"])]
+    at = _as_of("timestamp")
+    broken = {"orders": sources["orders"], "part": sources["part"].select("p_partkey")}  # the copy fails here
+    try:
+        run_snapshot(spark, broken, specs, root, at, "p")
+    except AnalysisException:
+        pass
+    if progress.load_progress(spark, root, "p")["snapshotted_tables"] != ["public.orders"]:
+        raise AssertionError("the first table must be recorded")
+    if run_snapshot(spark, sources, specs, root, at, "p") != ["public.part"]:
+        raise AssertionError("only the second table must be copied")
+    if not progress.load_progress(spark, root, "p")["snapshot_complete"]:
+        raise AssertionError("the snapshot must be recorded as complete")
+    out = None
+    for s in specs:
+        one = event_sink.read_events(spark, root, s).agg(F.count("*").alias("n"), F.countDistinct("_commit").alias("commits")).select(
+            F.lit(s.name).alias("table"), "n", "commits")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @register("s2_snapshot_rows", "select * from orders")
 def s2_rows(spark, d):
     """Rows sent as text and read back with the table's types."""

@@ -16,7 +16,7 @@ from millrace.sinks import commits, events as event_sink, tables as table_sink
 from millrace.sources.feed import FEED_SCHEMA, read_feed
 from millrace.sources.snapshot import snapshot_all
 from millrace.spec import TableSpec
-from millrace.streaming.gate import gate
+from millrace.streaming.gate import read_gated, run_gate
 from millrace.streaming.pipeline import (
     OPEN_ROWS, feed_batch, materialize, poll_cycle, run_feed, run_materializer, snapshot_batch,
 )
@@ -85,8 +85,8 @@ def w4(spark, d):
     at = F.lit("2024-01-15").cast("timestamp")
     snapshot_batch(snapshot_all({LOG_SPEC.name: base}, at), [LOG_SPEC], f"{root}/events")
     overlap = (F.col("pos") * 3 >= half(spark, d) * 2) & F.col("op").isin("INSERT", "UPDATE", "DELETE")
-    stream = text_feed(spark, d).filter(overlap).withColumn("xid", F.lit(0).cast("bigint"))
-    feed_batch(stream, 1, [LOG_SPEC], f"{root}/events")
+    _drop(text_feed(spark, d).filter(overlap).withColumn("xid", F.lit(0).cast("bigint")), f"{root}/in")
+    run_feed(read_feed(spark, f"{root}/in"), [LOG_SPEC], f"{root}/events", f"{root}/ck").awaitTermination()
     materialize(spark, [LOG_SPEC], f"{root}/events", f"{root}/tables", upto=0)
     materialize(spark, [LOG_SPEC], f"{root}/events", f"{root}/tables")
     return table_sink.read_state(spark, f"{root}/tables", LOG_SPEC)
@@ -127,19 +127,57 @@ def w5(spark, d):
     return table_sink.read_state(spark, f"{root}/tables", LOG_SPEC)
 
 
-@register("w6_stateful_gate", f"""with {FEED}
-select dml.xid, pos, op, done.commit_lsn from dml join done using (xid) where dml.xid <> 0""")
+@register("w5_new_checkpoint", FINAL)
+def w5_new_checkpoint(spark, d):
+    """The checkpoint is lost between two drops: the new stream numbers its batches from 0 again, on the old root."""
+    root = work_dir(spark, "w5n")
+    for i, part in enumerate(drops(text_feed(spark, d), 2)):
+        _drop(part, f"{root}/in{i}")
+        run_feed(read_feed(spark, f"{root}/in{i}"), [LOG_SPEC], f"{root}/events", f"{root}/ck{i}").awaitTermination()
+        materialize(spark, [LOG_SPEC], f"{root}/events", f"{root}/tables")
+    return table_sink.read_state(spark, f"{root}/tables", LOG_SPEC)
+
+
+@register("w1_duplicate_commit", f"""with {COMMITTED}
+select _op, pos as _seq, user_id, slot, value, props from committed""")
+def w1_duplicate_commit(spark, d):
+    """Every COMMIT is sent twice, in the batch of its rows and in one that starts again elsewhere."""
+    root = work_dir(spark, "w1d")
+    feed = text_feed(spark, d)
+    again = feed.filter(F.col("op") == "COMMIT")
+    for i, part in enumerate((feed.unionByName(again), again)):
+        _drop(part, f"{root}/in")
+        run_feed(read_feed(spark, f"{root}/in"), [LOG_SPEC], f"{root}/events", f"{root}/ck").awaitTermination()
+    return event_sink.read_events(spark, f"{root}/events", LOG_SPEC).select("_op", "_seq", *LOG_SPEC.columns)
+
+
+GATED = f"""with {FEED}
+select dml.xid, pos, op, done.commit_lsn from dml join done using (xid) where dml.xid <> 0"""
+
+
+@register("w6_stateful_gate", GATED)
 def w6(spark, d):
-    """The stream-stream form: rows wait in join state for their commit."""
+    """Rows wait for their commit over the batches of a stream."""
     root = work_dir(spark, "w6")
-    for part in drops(text_feed(spark, d), 2):
+    for part in drops(text_feed(spark, d).filter(F.coalesce("xid", F.lit(0)) != 0), 2):
+        _drop(part, f"{root}/in")
+        run_gate(read_feed(spark, f"{root}/in"), f"{root}/out", f"{root}/ck", "10 days").awaitTermination()
+    return read_gated(spark, f"{root}/out").select("xid", "pos", "op", "commit_lsn").filter(F.col("commit_lsn").isNotNull())
+
+
+@register("w6_late_rows", GATED)
+def w6_late_rows(spark, d):
+    """The feed arrives newest half first, so that the other half's rows and commits are far behind the bound: a row
+    that meets its commit in one batch is committed, not expired, and none is dropped."""
+    root = work_dir(spark, "w6l")
+    feed = text_feed(spark, d).filter(F.coalesce("xid", F.lit(0)) != 0)
+    edge = feed.agg((F.max("xid") / 2)).scalar()
+    for late in (False, True):
+        part = feed.filter(F.col("xid") < edge) if late else feed.filter(F.col("xid") >= edge)
         _drop(part, f"{root}/in")
-        feed = read_feed(spark, f"{root}/in")
-        (gate(feed.filter(F.coalesce("xid", F.lit(0)) != 0), within="10 days", late="10 days")
-         .select("xid", "pos", "op", "commit_lsn")
-         .writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ck")
-         .trigger(availableNow=True).start().awaitTermination())
-    return spark.read.parquet(f"{root}/out").filter(F.col("commit_lsn").isNotNull())
+        run_gate(read_feed(spark, f"{root}/in"), f"{root}/out", f"{root}/ck", "1 second").awaitTermination()
+    rows = read_gated(spark, f"{root}/out").select("xid", "pos", "op", "commit_lsn")
+    return rows.filter(F.col("commit_lsn").isNotNull())
 
 
 @register("w7_late_rows_with_lag", """with early as (select * from events where event_id % 10 <> 3 and ts < timestamp '2024-01-16'),

@@ -89,7 +89,7 @@ def read_parts(spark: SparkSession, root: str, spec: TableSpec, as_of: int | Non
 def read_state(spark: SparkSession, root: str, spec: TableSpec, as_of: int | None = None) -> DataFrame:
     """Current rows, or the rows as of a commit."""
     data, deletes = read_parts(spark, root, spec, as_of)
-    return mor.scan(data, deletes, spec.pk).select(*spec.columns)
+    return mor.scan(data, deletes, spec.pk, nullable=spec.nullable_keys).select(*spec.columns)
 
 
 def compact(spark: SparkSession, root: str, spec: TableSpec, rows_per_file: int | None = None) -> int:
@@ -97,7 +97,7 @@ def compact(spark: SparkSession, root: str, spec: TableSpec, rows_per_file: int
     entries = commits.heads(spark, root)
     commit = commits.top_commit(entries) + 1
     data, deletes = read_parts(spark, root, spec, entries=entries)
-    live = mor.scan(data, deletes, spec.pk).select(*spec.columns)
+    live = mor.scan(data, deletes, spec.pk, nullable=spec.nullable_keys).select(*spec.columns)
     rows = with_partitions(stamp_ids(live, spec), partition_fields(spec.partition, spec))
     commits.commit_tables(
         spark, root, commit, {data_name(spec): rows}, kind="base", partition_by=partition_map(spec),
@@ -130,12 +130,12 @@ def merge_table(folded: DataFrame, spec: TableSpec, root: str, commit: int) -> N
     placed = with_partitions(folded, fields).withColumn(PART, partition_path(fields))
     touched = touched_partitions(current.select(*spec.pk, PART), placed, spec, [PART])
     commits.write_part(touched, root, touched_name(spec), commit)
-    listed = commits.read_table(spark, root, touched_name(spec), _TOUCHED, commit, commit - 1)
+    listed = commits.read_commits(spark, root, touched_name(spec), _TOUCHED, [commit])
     # The path is made of partition columns alone, so this prunes folders at run time.
     inside = current.join(listed.select(PART), PART, "left_semi")
     rows = with_partitions(stamp_ids(apply(inside, folded, spec), spec), fields)
     commits.write_part(rows, root, data_name(spec), commit, parts, cluster=True)
-    commits.publish(spark, root, commit, {data_name(spec): "rewrite"})
+    commits.publish(spark, root, commit, {data_name(spec): "rewrite", touched_name(spec): "touched"})
 
 
 _TOUCHED = T.StructType([T.StructField(PART, T.StringType())])

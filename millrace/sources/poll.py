@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
 def poll(df: DataFrame, watermark: str, last=None, lag: str | None = None) -> DataFrame:
@@ -11,16 +11,28 @@ def poll(df: DataFrame, watermark: str, last=None, lag: str | None = None) -> Da
     Null watermarks never match. ``last=None`` is the first poll. ``lag`` (an
     interval such as ``'5 minutes'``) reads a bit again, so rows that arrive
     late at or below the watermark are found; upserts make the repeat harmless.
+    A text ``last`` is a mark of :func:`mark_of` and read as the column's own type,
+    so no time zone of the driver comes in. Whole-number watermarks take a whole
+    number as ``lag``.
     """
     wm = F.col(watermark)
     if last is None:
         return df.filter(wm.isNotNull())
-    edge = last if isinstance(last, Column) else F.lit(last)
+    kind = df.schema[watermark].dataType
+    edge = F.lit(last).cast(kind) if isinstance(last, str) else last if isinstance(last, Column) else F.lit(last)
     if lag is not None:
-        edge = edge - F.expr(f"interval {lag}")
+        edge = edge - (F.lit(int(lag)).cast(kind) if isinstance(kind, T.NumericType) else F.expr(f"interval {lag}"))
     return df.filter(wm > edge)
 
 
+def mark_of(df: DataFrame, watermark: str) -> Column:
+    """Highest watermark as text that casts back to the column's type: instants carry their offset."""
+    top = F.max(watermark)
+    if isinstance(df.schema[watermark].dataType, T.TimestampType):
+        return F.date_format(top, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    return top.cast("string")
+
+
 def chunks(spark: SparkSession, lo: int, hi: int, width: int = 100_000) -> DataFrame:
     """Bounds ``[lo, hi)`` of key ranges that cover ``lo..hi``."""
     first = lo // width

@@ -189,6 +189,11 @@ class TableSpec:
             return self.value_columns
         return [c for c in self.value_columns if c in self.maybe_unchanged]
 
+    @property
+    def nullable_keys(self) -> list[str]:
+        """Key columns not declared NOT NULL."""
+        return [c for c in self.pk if self.schema[c].nullable]
+
     @property
     def lake_name(self) -> str:
         return self.name.rsplit(".", 1)[-1]
@@ -295,11 +300,13 @@ def validate(specs: Sequence[TableSpec], mode: str = "logical") -> list[TableSpe
         problems.append(f"mode must be 'logical' or 'query', got {mode!r}")
     if not specs:
         problems.append("at least one table is required")
-    seen = set()
+    seen, lake = set(), {}
     for spec in specs:
         if spec.name in seen:
             problems.append(f"duplicate table {spec.name!r}")
         seen.add(spec.name)
+        if lake.setdefault(spec.lake_name, spec.name) != spec.name:
+            problems.append(f"{spec.name}: table name {spec.lake_name!r} is taken by {lake[spec.lake_name]}")
         if mode == "query":
             if not spec.pk:
                 problems.append(f"{spec.name}: primary key required in query mode")

@@ -1,29 +1,70 @@
-"""Commit gating inside a stream, with a time bound and an explicit output for what expires."""
+"""Commit gating of a stream, with a time bound and an explicit output for what expires."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.envelope import dml_only
+from millrace.operators.transactions import commits as commit_rows
+from millrace.sinks import commits
+from millrace.sources.feed import FEED_SCHEMA
+from millrace.streaming.pipeline import stream_id
 
+GATED, WAITING, SEEN = "gated", "gate_waiting", "gate_commits"
+SEEN_SCHEMA = T.StructType([
+    T.StructField("xid", T.LongType()), T.StructField("commit_lsn", T.LongType()),
+    T.StructField("commit_ts", T.TimestampType()),
+])
+GATED_SCHEMA = T.StructType([*FEED_SCHEMA.fields, *SEEN_SCHEMA.fields[1:]])
 
-def gate(feed: DataFrame, within: str = "1 hour", late: str = "10 minutes") -> DataFrame:
-    """DML joined to its COMMIT by transaction id inside a stream.
 
-    Rows wait in join state until their COMMIT arrives. A row whose transaction
-    does not commit ``within`` the bound is emitted with ``commit_lsn`` null
-    once the watermark passes: it is reported as expired, never dropped.
-    """
-    rows = dml_only(feed).withWatermark("source_ts", late)
-    done = (
-        feed.filter(F.col("op") == "COMMIT")
-        .select(F.col("xid").alias("commit_xid"), F.col("lsn").alias("commit_lsn"),
-                F.col("source_ts").alias("commit_ts"))
-        .withWatermark("commit_ts", late)
-    )
-    cond = (
-        (F.col("xid") == F.col("commit_xid"))
-        & (F.col("commit_ts") >= F.col("source_ts"))
-        & (F.col("commit_ts") <= F.col("source_ts") + F.expr(f"interval {within}"))
+def gate_batch(batch: DataFrame, batch_id: int, root: str, stream: str, within: str = "1 hour") -> None:
+    """One micro-batch: rows leave with their COMMIT, or as expired (``commit_lsn`` null) once the newest
+    time seen is more than ``within`` ahead of them. Waiting rows and recent commits are tables of the same
+    commit, not operator state, so no row is ever dropped for being late: it meets its COMMIT first, whichever
+    of the two came earlier, and only then is its age looked at."""
+    spark = batch.sparkSession
+    source = f"{stream}:{batch_id}"
+    if commits.published(spark, root, source):
+        return
+    entries = commits.heads(spark, root)
+
+    def kept(table: str, schema: T.StructType) -> DataFrame:
+        numbers = sorted(int(r["commit"]) for r in entries if r["table"] == table)
+        return commits.read_commits(spark, root, table, schema, numbers[-1:]).select(*schema.names)
+
+    feed = batch.select(*FEED_SCHEMA.names)
+    known = commit_rows(feed).unionByName(kept(SEEN, SEEN_SCHEMA)).groupBy("xid").agg(
+        F.max("commit_lsn").alias("commit_lsn"), F.max("commit_ts").alias("commit_ts"))
+    rows = dml_only(feed).unionByName(kept(WAITING, FEED_SCHEMA))
+    clock = F.lit(feed.select("source_ts").unionByName(kept(WAITING, FEED_SCHEMA).select("source_ts")).unionByName(
+        kept(SEEN, SEEN_SCHEMA).select(F.col("commit_ts").alias("source_ts"))).agg(F.max("source_ts").cast("string")).first()[0])
+    edge = clock.cast("timestamp") - F.expr(f"interval {within}")
+    joined = rows.join(known, "xid", "left").select(*GATED_SCHEMA.names).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out = F.col("commit_lsn").isNotNull() | F.coalesce(F.col("source_ts") < edge, F.lit(False))
+        commits.commit_tables(spark, root, commits.top_commit(entries) + 1, {
+            GATED: joined.filter(out),
+            WAITING: joined.filter(~out).select(*FEED_SCHEMA.names),
+            SEEN: known.filter(F.col("commit_ts") >= edge).select(*SEEN_SCHEMA.names),
+        }, source=source)
+    finally:
+        joined.unpersist()
+
+
+def run_gate(feed: DataFrame, root: str, checkpoint: str, within: str = "1 hour", **trigger) -> StreamingQuery:
+    """Start the gate over a feed; results are read with :func:`read_gated`."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        gate_batch(batch, batch_id, root, stream_id(batch.sparkSession, checkpoint), within)
+
+    return (
+        feed.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True})).start()
     )
-    return rows.join(done, cond, "left_outer").drop("commit_xid")
+
+
+def read_gated(spark: SparkSession, root: str) -> DataFrame:
+    """Rows that left the gate; ``commit_lsn`` is null for the expired."""
+    return commits.read_table(spark, root, GATED, GATED_SCHEMA).select(*GATED_SCHEMA.names)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
-from datetime import datetime
 from functools import partial
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.apply import resolve_parts, unresolved
@@ -19,8 +19,10 @@ from millrace.operators.transactions import NO_XID, commits as commit_rows
 from millrace.session import together
 from millrace.sinks import commits, events as event_sink, progress, schemas, tables
 from millrace.sources.feed import FEED_SCHEMA
-from millrace.sources.poll import poll
-from millrace.spec import TableSpec, materializable, validate
+from millrace.operators.mor import keys_match
+from millrace.sources.poll import mark_of, poll
+from millrace.sources.snapshot import pending_tables, snapshot_scan
+from millrace.spec import TableSpec, materializable, qualified, validate
 
 OPEN_ROWS = "open_transactions"
 
@@ -29,20 +31,31 @@ OPEN_ROWS = "open_transactions"
 
 
 def feed_batch(batch: DataFrame, batch_id: int, specs: Sequence[TableSpec], root: str,
-               pipeline_id: str | None = None) -> None:
+               pipeline_id: str | None = None, stream: str = "feed") -> None:
     """One micro-batch: committed rows become events, open ones wait for the next.
 
+    Its commit number comes from the log; (``stream``, ``batch_id``) says whether
+    the batch is there already, so a new checkpoint on an old root goes on behind
+    what is written, and a repeated batch changes nothing.
+
     Waiting rows are a table of the same commit, not operator state: a
     transaction may stay open for any time and be of any size, and a repeated
     batch finds the same waiting rows. Only waiting and new rows are joined.
     """
     spark = batch.sparkSession
+    source = f"{stream}:{batch_id}"
+    if commits.published(spark, root, source):
+        return
+    entries = commits.heads(spark, root)
+    last = commits.top_commit(entries)
+    held = [int(r["commit"]) for r in entries if r["table"] == OPEN_ROWS]
     mine = tracked(batch, [s.name for s in specs])
     done = commit_rows(mine)
-    waiting = commits.read_table(spark, root, OPEN_ROWS, FEED_SCHEMA, upto=batch_id - 1, after=batch_id - 2)
+    waiting = commits.read_commits(spark, root, OPEN_ROWS, FEED_SCHEMA, sorted(held)[-1:])
     rows = dml_only(mine).select(*FEED_SCHEMA.names).unionByName(waiting.select(*FEED_SCHEMA.names))
 
-    history = schemas.versions(spark, root, specs, upto=batch_id - 1)
+    history = schemas.versions(spark, root, specs, upto=last)
+    copied_under = {name: known[-1][1] for name, known in history.items()}
     new = schemas.advance(history, schemas.changes_in(mine))
 
     # One pass tags every row with its commit; each table's write then reads the tagged rows.
@@ -59,41 +72,53 @@ def feed_batch(batch: DataFrame, batch_id: int, specs: Sequence[TableSpec], root
         parts = {}
         for name, known in history.items():
             spec = known[-1][1]
-            own = _versioned_events(ready.filter(F.col("table") == name), known)
+            own = _versioned_events(ready.filter(F.col("table") == name), known, copied_under[name])
             writes[spec.events_name], parts[spec.events_name] = event_sink.prepare_events(own, spec)
         if new:
             writes[schemas.SCHEMAS] = schemas.as_rows(spark, new)
         position = done.agg(F.max("commit_lsn")).first()[0]
-        commits.commit_tables(spark, root, batch_id, writes, mark=position, partition_by=parts,
-                              cluster=True)
+        commits.commit_tables(spark, root, last + 1, writes, mark=position, partition_by=parts,
+                              cluster=True, source=source)
     finally:
         tagged.unpersist()
     if pipeline_id is not None and position is not None:
         # After the commit is durable, never before.
-        progress.save_progress(spark, root, pipeline_id, {"mode": "logical", "lsn": int(position)})
+        saved = progress.load_progress(spark, root, pipeline_id)
+        progress.save_progress(spark, root, pipeline_id, {**saved, "mode": "logical", "lsn": int(position)})
 
 
-def _versioned_events(ready: DataFrame, known: schemas.Versions) -> DataFrame:
+def _versioned_events(ready: DataFrame, known: schemas.Versions, copied_under: TableSpec) -> DataFrame:
     """Events of one table, each row read under the schema in force at its
-    position and brought to the current one by field id."""
-    current, out = known[-1][1], None
+    position and brought to the current one by field id. Snapshot rows have no
+    position; they were copied under the schema known before this batch."""
+    copied = (F.col("xid") == NO_XID) & (F.col("lsn") == 0)
+    current = known[-1][1]
+    out = conform_ids(to_events(ready.filter(copied), copied_under, lsn="commit_lsn"), copied_under, current)
     for i, (start, spec) in enumerate(known):
-        rows = ready
+        rows = ready.filter(~copied)
         if i:
             rows = rows.filter(F.col("lsn") >= start)
         if i + 1 < len(known):
             rows = rows.filter(F.col("lsn") < known[i + 1][0])
-        part = conform_ids(to_events(rows, spec, lsn="commit_lsn"), spec, current)
-        out = part if out is None else out.unionByName(part)
+        out = out.unionByName(conform_ids(to_events(rows, spec, lsn="commit_lsn"), spec, current))
     return out
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the query that a checkpoint belongs to: a new checkpoint, even at an old path, is another stream."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def run_feed(stream: DataFrame, specs: Sequence[TableSpec], root: str, checkpoint: str,
              pipeline_id: str | None = None, **trigger) -> StreamingQuery:
     """Start the change-feed pipeline; ``trigger`` as in ``DataStreamWriter.trigger``."""
     validate(specs)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        feed_batch(batch, batch_id, specs, root, pipeline_id, stream_id(batch.sparkSession, checkpoint))
+
     return (
-        stream.writeStream.foreachBatch(lambda b, i: feed_batch(b, i, specs, root, pipeline_id))
+        stream.writeStream.foreachBatch(each)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
@@ -149,6 +174,8 @@ def materialize(spark: SparkSession, specs: Sequence[TableSpec], events_root: st
 def run_materializer(spark: SparkSession, specs: Sequence[TableSpec], events_root: str, root: str,
                      checkpoint: str, **trigger) -> StreamingQuery:
     """Materialize whenever the events log grew, on its own interval."""
+    if commits.last_commit(spark, events_root) < 0:
+        commits.ensure_log(spark, events_root)
     grown = spark.readStream.schema(commits.LOG_SCHEMA).parquet(commits.log_path(events_root))
     return (
         grown.writeStream.foreachBatch(lambda b, i: materialize(spark, specs, events_root, root))
@@ -173,27 +200,31 @@ def poll_cycle(spark: SparkSession, sources: Mapping[str, DataFrame], specs: Seq
     saved = progress.load_progress(spark, root, pipeline_id)
     marks = dict(saved["watermarks"])
     commit = commits.last_commit(spark, root) + 1
-    writes, parts, held, moved = {}, {}, [], False
+    writes, parts, held = {}, {}, []
     try:
         for spec in specs:
             last = marks.get(spec.name)
-            last = datetime.fromisoformat(last) if last else None
             fresh = poll(sources[spec.name].select(*spec.columns), spec.watermark, last, lag)
             order = [spec.watermark, *(tie_break or {}).get(spec.name, ())]
-            rows = as_folded(latest_per_key(fresh, spec.pk, order), spec).persist(
-                StorageLevel.MEMORY_AND_DISK)
+            newest = latest_per_key(fresh, spec.pk, order)
+            if last is not None and lag is not None:
+                # What the lag reads again is mostly there already; only rows that differ are written.
+                stored = tables.read_state(spark, root, spec)
+                newest = newest.alias("f").join(stored.alias("b"), keys_match(spec.columns, spec.columns), "left_anti")
+            rows = as_folded(newest, spec).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(rows)
-            top = rows.agg(F.max(spec.watermark)).first()[0]
+            top = rows.agg(mark_of(rows, spec.watermark)).first()[0]
             if top is None:
                 continue
-            if last is None or top > last:
-                marks[spec.name], moved = top.isoformat(), True
+            kind = spec.schema[spec.watermark].dataType
+            if last is None or spark.range(1).select(F.lit(top).cast(kind) > F.lit(last).cast(kind)).first()[0]:
+                marks[spec.name] = top
             writes |= tables.delta_writes(rows, spec)
             parts |= tables.partition_map(spec)
-        if not writes or not (moved or lag):
+        if not writes:
             return None
         commits.commit_tables(spark, root, commit, writes, kind="delta", partition_by=parts, cluster=True)
-        progress.save_progress(spark, root, pipeline_id, {"mode": "query", "watermarks": marks})
+        progress.save_progress(spark, root, pipeline_id, {**saved, "mode": "query", "watermarks": marks})
     finally:
         for df in held:
             df.unpersist()
@@ -203,9 +234,36 @@ def poll_cycle(spark: SparkSession, sources: Mapping[str, DataFrame], specs: Seq
 # -- snapshot ----------------------------------------------------------------
 
 
-def snapshot_batch(feed: DataFrame, specs: Sequence[TableSpec], root: str, batch_id: int = 0) -> None:
-    """Write a snapshot feed as the first events commit; the stream continues after it."""
+def snapshot_batch(feed: DataFrame, specs: Sequence[TableSpec], root: str, name: str = "initial") -> None:
+    """Write a snapshot feed (text images of all tables) as one events commit; the stream
+    continues after it. A snapshot of the same ``name`` is written once."""
     feed_batch(feed.select(*[
         F.col(c) if c in feed.columns else F.lit(None).cast(FEED_SCHEMA[c].dataType).alias(c)
         for c in FEED_SCHEMA.names
-    ]), batch_id, specs, root)
+    ]), 0, specs, root, stream=f"snapshot {name}")
+
+
+def run_snapshot(spark: SparkSession, sources: Mapping[str, DataFrame], specs: Sequence[TableSpec], root: str,
+                 as_of: Column, pipeline_id: str, skip: Sequence[str] = ()) -> list[str]:
+    """Copy tables as typed rows, one commit a table, and record each as done.
+
+    A run that was interrupted goes on with the tables that are not recorded; a table
+    whose commit was published before its record was saved is only recorded. Rows
+    are read under the table's current schema version. Returns the tables copied.
+    """
+    validate(specs)
+    saved = progress.load_progress(spark, root, pipeline_id)
+    done, copied = list(saved["snapshotted_tables"]), []
+    current = {s.name: s for s in schemas.latest(spark, root, specs)}
+    for name in pending_tables(sources, done, skip):
+        spec, source = current[qualified(name)], f"snapshot {pipeline_id}:{qualified(name)}"
+        if not commits.published(spark, root, source):
+            rows, parts = event_sink.prepare_events(snapshot_scan(sources[name], spec, as_of), spec)
+            commits.commit_tables(spark, root, commits.last_commit(spark, root) + 1, {spec.events_name: rows},
+                                  partition_by={spec.events_name: parts}, cluster=True, source=source)
+            copied.append(spec.name)
+        done.append(spec.name)
+        progress.save_progress(spark, root, pipeline_id, {**saved, "mode": "logical", "snapshotted_tables": done})
+    progress.save_progress(spark, root, pipeline_id,
+                           {**saved, "mode": "logical", "snapshotted_tables": done, "snapshot_complete": True})
+    return copied

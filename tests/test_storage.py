@@ -12,7 +12,7 @@ from millrace.sources.feed import FEED_SCHEMA, read_feed
 from millrace.sources.snapshot import pending_tables
 from millrace.spec import SchemaChange, TableSpec
 from millrace.streaming import pipeline
-from millrace.streaming.gate import gate
+from millrace.streaming.gate import read_gated, run_gate
 from tests.feeds import NOW, control, dml, feed, numbered, rows
 
 EVENTS = TableSpec.of("public.counted", [("id", "integer", False), ("value", "integer")], pk=["id"])
@@ -162,18 +162,21 @@ def test_partition_dir(spark):
 
 
 def test_stream_gate_reports_expired_transactions(spark):
-    """Transaction 1 commits, 2 never does and comes out unmatched once time has passed."""
+    """Transaction 1 commits, 2 never does and comes out unmatched once time has passed. Transaction 4 is far behind
+    the newest row when it and its COMMIT arrive: it is committed, neither expired nor lost."""
     root = work_dir(spark, "t")
-    at = [r[:5] + (r[5] + timedelta(minutes=m),) + r[6:] for r, m in (
-        (one_tx(EVENTS, 1, 1)[0], 0), (control("COMMIT", 1, 150), 1), (one_tx(EVENTS, 2, 2)[0], 2))]
-    later = [r[:5] + (r[5] + timedelta(hours=9),) + r[6:] for r in (one_tx(EVENTS, 3, 3)[0], control("COMMIT", 3, 350))]
-    for part in (at, later, [r[:5] + (r[5] + timedelta(hours=9),) + r[6:] for r in later]):
+
+    def moved(rows, **by):
+        return [r[:5] + (r[5] + timedelta(**by),) + r[6:] for r in rows]
+
+    first = [*one_tx(EVENTS, 1, 1), *moved([control("COMMIT", 1, 150)], minutes=1), *moved(one_tx(EVENTS, 2, 2), minutes=2)]
+    later = moved([*one_tx(EVENTS, 3, 3), control("COMMIT", 3, 350)], hours=9)
+    late = [*one_tx(EVENTS, 4, 4), control("COMMIT", 4, 450)]
+    for part in (first, later, late):
         feed(spark, part).write.mode("append").parquet(root + "/in")
-        (gate(read_feed(spark, root + "/in"), within="1 hour", late="1 minute").select("xid", "commit_lsn")
-         .writeStream.format("parquet").option("path", root + "/out").option("checkpointLocation", root + "/ck")
-         .trigger(availableNow=True).start().awaitTermination())
-    got = {tuple(r) for r in spark.read.parquet(root + "/out").collect()}
-    assert (1, 150) in got and (2, None) in got and (3, 350) in got
+        run_gate(read_feed(spark, root + "/in"), root + "/out", root + "/ck", "1 hour").awaitTermination()
+    got = sorted((r.xid, r.commit_lsn) for r in read_gated(spark, root + "/out").collect())
+    assert got == [(1, 150), (2, None), (3, 350), (4, 450)]
     assert FEED_SCHEMA["xid"].dataType == T.LongType()
 
 
@@ -219,3 +222,113 @@ def test_schema_changes_in_the_stream(spark):
     assert now.columns == ["id", "v", "note", "score"] and now.field_id("note") == 4
     assert rows(tables.read_state(spark, tb, now), now) == [
         (1, 10, "new", 100), (2, 2, None, None), (3, 3000000000, None, None), (4, 44, "new", 41)]
+
+
+def test_reads_list_only_the_commits_wanted(spark):
+    root = work_dir(spark, "t")
+    for i in range(6):
+        event_sink.append_events(event_rows(spark, i), EVENTS, root, i)
+    assert len(event_sink.read_events(spark, root, EVENTS).inputFiles()) >= 6
+    one = event_sink.read_events(spark, root, EVENTS, after=4)
+    assert {f.split("_commit=")[1].split("/")[0] for f in one.inputFiles()} == {"5"}
+    assert one.count() == 2
+
+
+def event_rows(spark, i):
+    from millrace.operators.envelope import to_events
+
+    return to_events(feed(spark, one_tx(EVENTS, 0, 10 * i + 1, 10 * i + 2)), EVENTS)
+
+
+def test_a_published_commit_is_never_replaced(spark):
+    root = work_dir(spark, "t")
+    event_sink.append_events(event_rows(spark, 0), EVENTS, root, 0)
+    with pytest.raises(ValueError, match="published"):
+        commits.publish(spark, root, 0, {"x": "append"})
+    event_sink.append_events(event_rows(spark, 1), EVENTS, root, 0)  # the same batch: left as it is
+    assert sorted(r.id for r in event_sink.read_events(spark, root, EVENTS).collect()) == [1, 2]
+
+
+def test_a_duplicate_commit_counts_once(spark):
+    root = work_dir(spark, "t")
+    end = control("COMMIT", 1, 199)
+    pipeline.feed_batch(feed(spark, [*one_tx(EVENTS, 1, 1), end, end]), 0, [EVENTS], root)
+    assert count_events(spark, root) == 1
+
+
+def test_equal_lake_names_are_refused():
+    from millrace.spec import validate
+
+    with pytest.raises(ValueError, match="taken by public.orders"):
+        validate([TableSpec.of("public.orders", [("id", "bigint", False)], pk=["id"]),
+                  TableSpec.of("app.orders", [("id", "bigint", False)], pk=["id"])])
+
+
+def test_materializer_may_start_first(spark):
+    root = work_dir(spark, "t")
+    pipeline.run_materializer(spark, [EVENTS], root + "/ev", root + "/tb", root + "/ck").awaitTermination()
+    pipeline.feed_batch(feed(spark, [*one_tx(EVENTS, 1, 1), control("COMMIT", 1, 199)]), 0, [EVENTS], root + "/ev")
+    pipeline.run_materializer(spark, [EVENTS], root + "/ev", root + "/tb", root + "/ck").awaitTermination()
+    assert tables.read_state(spark, root + "/tb", EVENTS).count() == 1
+
+
+def test_polls_do_not_depend_on_the_drivers_zone(spark, monkeypatch):
+    import time
+
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        spec = TableSpec.of("public.p", [("id", "bigint"), ("at", "timestamptz"), ("n", "bigint")], pk=["id"], watermark="at")
+        root = work_dir(spark, "t")
+        rows = "select * from values (1L, timestamp'2025-01-01 10:00:00Z', 1L), (cast(null as bigint), timestamp'2025-01-01 09:00:00Z', 1L) t(id, at, n)"
+        more = rows.replace(" t(id", ", (2L, timestamp'2025-01-01 12:00:00Z', 1L), (cast(null as bigint), timestamp'2025-01-01 11:00:00Z', 2L) t(id")
+        done = [pipeline.poll_cycle(spark, {spec.name: spark.sql(q)}, [spec], root, lag=lag)
+                for q, lag in ((rows, None), (more, None), (more, "3 hours"), (more, "3 hours"))]
+        assert done == [0, 1, None, None]
+        got = {(r.id, r.n) for r in tables.read_state(spark, root, spec).collect()}
+        assert got == {(1, 1), (2, 1), (None, 2)}
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_whole_number_watermarks_poll(spark):
+    spec = TableSpec.of("public.n", [("id", "bigint", False), ("v", "bigint")], pk=["id"], watermark="v")
+    root = work_dir(spark, "t")
+    polls = [spark.range(n).select("id", F.col("id").alias("v")) for n in (3, 5, 5)]
+    assert [pipeline.poll_cycle(spark, {spec.name: p}, [spec], root) for p in polls] == [0, 1, None]
+    assert tables.read_state(spark, root, spec).count() == 5
+
+
+def test_a_changed_key_keeps_unchanged_columns(spark):
+    spec = TableSpec.of("public.k", [("id", "bigint", False), ("big", "text"), ("n", "bigint")], pk=["id"], maybe_unchanged=("big",))
+    ev, tb = work_dir(spark, "t"), work_dir(spark, "t")
+    pipeline.feed_batch(feed(spark, [dml(spec, "I", {"id": "1", "big": "long", "n": "1"}, pos=1)]), 0, [spec], ev)
+    moved = dml(spec, "U", {"id": "2", "n": "2"}, unchanged=["big"], before={"id": "1", "big": "long", "n": "1"}, pos=2)
+    pipeline.feed_batch(feed(spark, [moved]), 1, [spec], ev)
+    pipeline.materialize(spark, [spec], ev, tb)
+    assert rows(tables.read_state(spark, tb, spec), spec) == [(2, "long", 2)]
+
+
+def test_snapshot_rows_after_a_schema_change_keep_the_new_column(spark):
+    spec = TableSpec.of("public.s", [("id", "bigint", False)], pk=["id"])
+    root = work_dir(spark, "t")
+    change = (spec.name, "SCHEMA_CHANGE", 0, 50, 50, NOW, NOW, None, SchemaChange(added=(("extra", "text"),)).to_map(), None)
+    pipeline.feed_batch(feed(spark, [change]), 0, [spec], root)
+    source = spark.sql("select 1L as id, 'x' as extra")
+    assert pipeline.run_snapshot(spark, {"public.s": source}, [spec], root, F.lit(NOW), "p") == ["public.s"]
+    from millrace.sinks import schemas
+
+    now = schemas.latest(spark, root, [spec])[0]
+    assert [r.extra for r in event_sink.read_events(spark, root, now).collect()] == ["x"]
+
+
+def test_paths_escape_values(spark):
+    from millrace.functions.transforms import parse_partition_path, partition_fields, partition_path
+
+    spec = TableSpec.of("public.e", [("id", "bigint", False), ("a", "text")], pk=["id"], partition=("a",))
+    fields = partition_fields(spec.partition, spec)
+    values = ["a/b=c", "50%", "__null__", None, "%2F", "_x"]
+    df = spark.createDataFrame([(v,) for v in values], "a string")
+    got = df.select("a", partition_path(fields).alias("p")).select("a", "p", parse_partition_path(F.col("p"), fields)["a"].alias("b")).collect()
+    assert [r.b for r in got] == values and len({r.p for r in got}) == len(values)
