@@ -215,7 +215,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     key, names = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]), docs.columns
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), key.alias("row"))
     first = groups(rows, shingle, max_bits, blocks).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = stored(first.groupBy("grp").agg(F.min("doc_id").alias("__id"), F.min("row").alias("__row"), F.count("*").alias("__n")), "keep")
+    keep = stored(first.groupBy("grp").agg(F.min("doc_id").alias("__id"), F.min("row").alias("__row"), F.count("*").alias("__n")).drop("grp"), "keep")
     # equal rows cannot be told apart by id and hash; they are dropped here only where a group has several rows of its id
     held = docs.withColumn("__key", key)
     kept = held.join(keep, F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__row")), "inner")
