@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from millrace.operators.spread import RANGES
+from millrace.operators.spread import RANGES, with_range
 
 
 def replay_ops(ops: DataFrame, key: str = "seq", order: str = "id") -> DataFrame:
@@ -53,10 +53,8 @@ def as_of(events: DataFrame, versions: DataFrame, by: str, at: str, payload: lis
     events is spread over its ranges, and only one summary row per range is
     ever put in order.
     """
-    width = events.agg(F.greatest(F.lit(1), F.ceil((F.max(at) - F.min(at) + 1) / ranges))).scalar()
-    rng = F.floor(F.col(at) / width)
-    ev = events.withColumn("_r", rng)
-    ver = versions.select(by, at, F.struct(*payload).alias("_v")).withColumn("_r", rng)
+    ev = with_range(events, events, at, "_r", ranges)
+    ver = with_range(versions.select(by, at, F.struct(*payload).alias("_v")), events, at, "_r", ranges)
 
     # Ranges of either side, each with the last version inside it.
     summary = ver.groupBy(by, "_r").agg(F.max_by("_v", at).alias("_end")).unionByName(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 SALTS = 32
 RANGES = 1 << 14
+SEGMENTS = 32
 
 
 def spread_join(rows: DataFrame, keys: DataFrame, on: Sequence[str], how: str = "left_semi",
@@ -25,12 +26,26 @@ def spread_join(rows: DataFrame, keys: DataFrame, on: Sequence[str], how: str =
     return dealt.join(listed, [*on, "_salt"], how).drop("_salt")
 
 
-def position_range(df: DataFrame, column: str, ranges: int = RANGES) -> Column:
-    """Number of the stretch of ``column`` a row falls in, at most about ``ranges`` of them.
+def with_range(rows: DataFrame, source: DataFrame, column: str, name: str = "_range", ranges: int = RANGES) -> DataFrame:
+    """Add the number of the stretch of ``column`` a row falls in, at most about ``ranges`` of them; it never falls as
+    the column rises.
 
-    The width follows the data, so rows per range and ranges per key both stay
-    small as the log grows. The bounds come from a scalar subquery that reads
-    one column.
+    Approximate quantiles of ``source`` cut the rows into ``SEGMENTS`` parts of about equal count, and each part is cut
+    evenly. So a few rows far from the others (snapshot rows at 0, log positions near 10^15) do not push all others
+    into one stretch: none holds much more than one part of the rows. The bounds come from a scalar subquery that reads
+    one column; a value beyond them falls in the first or last stretch.
     """
-    width = df.agg(F.greatest(F.lit(1), F.ceil((F.max(column) - F.min(column) + 1) / ranges))).scalar()
-    return F.floor(F.col(column) / width)
+    cuts = [i / SEGMENTS for i in range(1, SEGMENTS)]
+    bounds = source.agg(F.concat(
+        F.array(F.min(column) - 1), F.percentile_approx(column, cuts, 20 * SEGMENTS), F.array(F.max(column))
+    )).scalar()
+    x, b, part = F.col(column), F.col("_bounds"), F.col("_part")
+    each = max(1, ranges // SEGMENTS)
+    inside = F.floor((x - F.get(b, part)) / F.greatest(F.get(b, part + 1) - F.get(b, part), F.lit(1)) * each)
+    place = part * each + F.greatest(F.lit(0), F.least(F.lit(each - 1), F.coalesce(inside, F.lit(0))))
+    return (
+        rows.withColumn("_bounds", bounds)
+        .withColumn("_part", F.greatest(F.size(F.filter(F.slice(b, 2, SEGMENTS - 1), lambda c: c < x)), F.lit(0)))
+        .withColumn(name, place.cast("bigint"))
+        .drop("_bounds", "_part")
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.operators.envelope import dml_only
-from millrace.operators.spread import RANGES, position_range
+from millrace.operators.spread import RANGES, with_range
 
 NO_XID = 0  # rows outside any transaction, such as snapshot rows
 
@@ -74,7 +74,7 @@ def statement_numbers(rows: DataFrame, ranges: int = RANGES, name: str = "tx_seq
     starts where the counts of the transaction's earlier ranges end. A task
     sorts one range of rows, or the ``ranges`` counts of one transaction.
     """
-    cut = rows.withColumn("_range", position_range(rows, "pos", ranges))
+    cut = with_range(rows, rows, "pos", "_range", ranges)
     sizes = cut.groupBy("xid", "_range").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("xid").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(

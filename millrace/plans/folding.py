@@ -303,3 +303,18 @@ def j3(spark, d):
         F.col("slot").alias("rel"), (F.col("_lsn") - 5).alias("at"), F.col("_seq").alias("version"))
     ev = log.select("_seq", F.col("slot").alias("rel"), F.col("_lsn").alias("at"))
     return replay.as_of(ev, versions, "rel", "at", ["version"])
+
+
+FAR = 1_000_000_000_000_000
+
+
+@register("j3_snapshot_and_log", f"""with {LOG},
+log2 as (select *, case when _seq % 50 = 0 then 0 else {FAR} + _lsn end as place from log),
+versions as (select slot as rel, max(_seq) as version, place from log2 where _op = 'I' group by slot, place)
+select e._seq, e.slot as rel, e.place, v.version from log2 e asof left join versions v on e.slot = v.rel and e.place >= v.place""")
+def j3_far(spark, d):
+    """A few snapshot rows at position 0, all others near 10^15."""
+    at = F.when(F.col("_seq") % 50 == 0, F.lit(0)).otherwise(F.col("_lsn") + F.lit(FAR)).cast("bigint")
+    log = change_log(spark, d).withColumn("place", at)
+    versions = log.filter(F.col("_op") == "I").groupBy(F.col("slot").alias("rel"), "place").agg(F.max("_seq").alias("version"))
+    return replay.as_of(log.select("_seq", F.col("slot").alias("rel"), "place"), versions, "rel", "place", ["version"])

@@ -188,3 +188,15 @@ def test_relational_helpers(spark):
     spec = discover(cols, "app.orders")
     assert (spec.name, spec.columns, spec.pk) == ("app.orders", ["a", "b", "c"], ("b", "c"))
     assert discover(cols, "app.orders", pk=["a"]).pk == ("a",)
+
+
+def test_position_ranges_hold_even_counts_whatever_the_gaps(spark):
+    from millrace.operators.spread import with_range
+
+    df = spark.range(100_000).select(F.when(F.col("id") < 10, F.lit(0)).otherwise(F.col("id") + 10**15).cast("bigint").alias("p"))
+    cut = with_range(df, df, "p", "r")
+    assert cut.groupBy("r").count().agg(F.max("count")).first()[0] < 5_000
+    rows = [(r.p, r.r) for r in cut.orderBy("p").collect()]
+    assert all(a[1] <= b[1] for a, b in zip(rows, rows[1:]))
+    empty = df.limit(0)
+    assert with_range(empty, empty, "p").count() == 0
