@@ -9,6 +9,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import duckdb  # noqa: E402
+
 from millrace.plans import load_all  # noqa: E402
 from millrace.session import local_session  # noqa: E402
 
@@ -21,7 +23,18 @@ HEADLINE = [
     "x17_rows_per_partition", "s2_snapshot_rows", "s10_chunked_scan", "v1_table_diff", "v2_diff_summary",
     "v4_replay_equals_table", "o1_rows_per_bucket", "o4_materialization_lag", "o9_backlog",
     "e5_widen_columns", "k1_append_events", "k3_merge_table", "m9_materialize_cycle",
+    "w1_feed_to_events", "w2_continuous_materialization",
 ]
+TABLES = "region nation customer supplier part orders lineitem events".split()
+
+
+def duck(sf_dir: str, cpus: str) -> "duckdb.DuckDBPyConnection":
+    con = duckdb.connect()
+    con.execute(f"set threads = {int(cpus)}")
+    con.execute("set timezone = 'UTC'")
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
+    return con
 
 
 def main() -> None:
@@ -30,7 +43,7 @@ def main() -> None:
     spark = local_session(cpus, app="bench")
     registry = load_all()
     runs = int(os.environ.get("BENCH_RUNS", "2"))
-    times = {}
+    times, base, con = {}, {}, duck(sf_dir, cpus)
     for name in HEADLINE:
         best = None
         for _ in range(runs):
@@ -39,11 +52,17 @@ def main() -> None:
             took = time.perf_counter() - start
             best = took if best is None else min(best, took)
         times[name] = round(best, 3)
+        sql = registry[name][1]
+        if sql is not None:
+            start = time.perf_counter()
+            con.execute(sql).fetchall()
+            base[name] = round(time.perf_counter() - start, 3)
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
-        "rows_per_sec": {n: int(rows / times[n]) for n in ("m1_fold_state", "m3_apply", "m5_merge_on_read_scan", "v1_table_diff")},
+        "rows_per_sec": {n: int(rows / times[n]) for n in ("m1_fold_state", "m3_apply", "m5_merge_on_read_scan", "v1_table_diff", "w1_feed_to_events", "w2_continuous_materialization")},
+        "duckdb": base, "duckdb_total": round(sum(base.values()), 3),
     }))
 
 

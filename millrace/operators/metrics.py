@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.operators.spread import spread_join
 
@@ -48,21 +48,28 @@ def watermark_lag(df: DataFrame, watermark: str, now: Column, *by: str) -> DataF
 def delays(feed: DataFrame, *by: str, exact: bool = True) -> DataFrame:
     """Source-to-processing delay in whole seconds: count, min, max, median, p95.
 
-    ``exact`` counts distinct delays, which whole seconds keep few; otherwise a
-    bounded sketch is used.
+    ``exact`` counts rows per (group, delay) first and takes the quantiles from the
+    running counts, so no task ever holds a group's values; otherwise a bounded
+    sketch is used.
     """
     d = F.unix_seconds(F.col("proc_ts").cast("timestamp")) - F.unix_seconds(F.col("source_ts").cast("timestamp"))
     rows = feed.select(*by, d.alias("d"))
-
-    def pct(p: float) -> Column:
-        if exact:
-            return F.expr(f"percentile_disc({p}) within group (order by d)").cast("bigint")
-        return F.percentile_approx("d", p)
-
-    return rows.groupBy(*by).agg(
-        F.count("*").alias("n"), F.min("d").alias("min_delay"), F.max("d").alias("max_delay"),
-        pct(0.5).alias("p50_delay"), pct(0.95).alias("p95_delay"),
-    )
+    ends = (F.min("d").alias("min_delay"), F.max("d").alias("max_delay"))
+    if not exact:
+        return rows.groupBy(*by).agg(
+            F.count("*").alias("n"), *ends,
+            F.percentile_approx("d", 0.5).alias("p50_delay"), F.percentile_approx("d", 0.95).alias("p95_delay"))
+    each = rows.groupBy(*by, "d").agg(F.count("*").alias("c"))
+    known = F.when(F.col("d").isNotNull(), F.col("c")).otherwise(0)
+    whole = Window.partitionBy(*by)
+    running = whole.orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = each.withColumns({"_at": F.sum(known).over(running), "_all": F.sum(known).over(whole)})
+
+    def pct(p: float, name: str) -> Column:
+        reached = (F.col("_at") >= F.ceil(F.lit(p) * F.col("_all"))) & F.col("d").isNotNull()
+        return F.min(F.when(reached, F.col("d"))).alias(name)
+
+    return ranked.groupBy(*by).agg(F.sum("c").alias("n"), *ends, pct(0.5, "p50_delay"), pct(0.95, "p95_delay"))
 
 
 def histogram(df: DataFrame, value: str, bounds: Sequence[float], *by: str) -> DataFrame:
