@@ -25,7 +25,7 @@ HEADLINE = [
     "e5_widen_columns", "k1_append_events", "k3_merge_table", "m9_materialize_cycle",
     "w1_feed_to_events", "w2_continuous_materialization",
 ]
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents".split()
 
 
 def duck(sf_dir: str, cpus: str) -> "duckdb.DuckDBPyConnection":
