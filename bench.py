@@ -1,4 +1,7 @@
-"""Bench: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS], one JSON line out."""
+"""Bench: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS], one JSON line out.
+
+The total leaves out the streams (w rows): they restart a query several times and are there for their rows a second.
+"""
 
 from __future__ import annotations
 
@@ -59,7 +62,7 @@ def main() -> None:
             base[name] = round(time.perf_counter() - start, 3)
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     print(json.dumps({
-        "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
+        "metric": "headline_queries_total", "value": round(sum(t for n, t in times.items() if n[0] != "w"), 3), "unit": "sec",
         "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
         "rows_per_sec": {n: int(rows / times[n]) for n in ("m1_fold_state", "m3_apply", "m5_merge_on_read_scan", "v1_table_diff", "w1_feed_to_events", "w2_continuous_materialization")},
         "duckdb": base, "duckdb_total": round(sum(base.values()), 3),
