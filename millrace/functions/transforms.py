@@ -239,21 +239,26 @@ def _div(value: Column, by: Column) -> Column:
 PATH_ESCAPES = (("%", "%25"), ("/", "%2F"), ("=", "%3D"))
 
 
+def _is_safe(field: PartitionField | str) -> bool:
+    """Binary is path-safe text already."""
+    return not isinstance(field, str) and isinstance(field.dtype, T.BinaryType)
+
+
 def partition_path(fields: Sequence[PartitionField] | Sequence[str]) -> Column:
     """``name=value/name=value`` from the partition columns, nulls as ``__null__``.
 
     ``%``, ``/`` and ``=`` inside a value are escaped, and so is a value that reads
     ``__null__`` itself, so every path has one reading."""
-    names = [f if isinstance(f, str) else f.name for f in fields]
-
-    def shown(n: str) -> Column:
+    def shown(f: PartitionField | str) -> Column:
+        n = f if isinstance(f, str) else f.name
         text = F.col(n).cast("string")
-        for mark, code in PATH_ESCAPES:
-            text = F.replace(text, F.lit(mark), F.lit(code))
-        text = F.when(text == NULL_PART, F.concat(F.lit("%5F"), F.substring(text, 2, len(NULL_PART)))).otherwise(text)
+        if not _is_safe(f):
+            for mark, code in PATH_ESCAPES:
+                text = F.replace(text, F.lit(mark), F.lit(code))
+            text = F.when(text == NULL_PART, F.concat(F.lit("%5F"), F.substring(text, 2, len(NULL_PART)))).otherwise(text)
         return F.concat(F.lit(f"{n}="), F.coalesce(text, F.lit(NULL_PART)))
 
-    return F.concat_ws("/", *[shown(n) for n in names])
+    return F.concat_ws("/", *[shown(f) for f in fields])
 
 
 def parse_partition_path(path: Column, fields: Sequence[PartitionField]) -> Column:
@@ -262,8 +267,9 @@ def parse_partition_path(path: Column, fields: Sequence[PartitionField]) -> Colu
 
     def value(f: PartitionField) -> Column:
         text = F.nullif(F.element_at(parts, f.name), F.lit(NULL_PART))
-        for mark, code in (("_", "%5F"), *reversed(PATH_ESCAPES)):
-            text = F.replace(text, F.lit(code), F.lit(mark))
+        if not _is_safe(f):
+            for mark, code in (("_", "%5F"), *reversed(PATH_ESCAPES)):
+                text = F.replace(text, F.lit(code), F.lit(mark))
         return text.cast(f.result_type).alias(f.name)
 
     return F.struct(*[value(f) for f in fields])

@@ -12,10 +12,19 @@ NO_XID = 0  # rows outside any transaction, such as snapshot rows
 
 def commits(feed: DataFrame) -> DataFrame:
     """One row per committed transaction: xid, commit position and time. A COMMIT
-    that was sent twice counts once, at its last position."""
+    that was sent twice counts once, at its last position.
+
+    The xid comes out as an aggregate, so a join by it shuffles these few rows once
+    more; a big side next to a shuffle of the join's own can be split where it is skewed.
+    """
     return feed.filter(F.col("op") == "COMMIT").groupBy("xid").agg(
-        F.max("lsn").alias("commit_lsn"), F.max_by("source_ts", "lsn").alias("commit_ts")
-    )
+        F.max("xid").alias("_xid"), F.max("lsn").alias("commit_lsn"), F.max_by("source_ts", "lsn").alias("commit_ts")
+    ).select(F.col("_xid").alias("xid"), "commit_lsn", "commit_ts")
+
+
+def _committed(feed: DataFrame) -> DataFrame:
+    """Ids of committed transactions, for joins that don't mind a repeat."""
+    return feed.filter(F.col("op") == "COMMIT").select("xid")
 
 
 def outside_transactions(feed: DataFrame) -> DataFrame:
@@ -30,7 +39,7 @@ def committed_only(feed: DataFrame) -> DataFrame:
     splitting divides (left side of a left-semi join).
     """
     rows = dml_only(feed)
-    inside = rows.filter(F.col("xid") != NO_XID).join(commits(feed).select("xid"), "xid", "left_semi")
+    inside = rows.filter(F.col("xid") != NO_XID).join(_committed(feed), "xid", "left_semi")
     return inside.select(*feed.columns).unionByName(outside_transactions(feed))
 
 
@@ -106,4 +115,4 @@ def table_sets(feed: DataFrame) -> DataFrame:
 def open_transactions(feed: DataFrame) -> DataFrame:
     """DML whose transaction has no COMMIT yet."""
     rows = dml_only(feed).filter(F.col("xid") != NO_XID)
-    return rows.join(commits(feed).select("xid"), "xid", "left_anti").select(*feed.columns)
+    return rows.join(_committed(feed), "xid", "left_anti").select(*feed.columns)
