@@ -16,6 +16,10 @@ from ..session import work_dir
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+#: Rows that a function sees, and hands on, at once.
+SLICE = 1000
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -50,8 +54,8 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
 def arrow_map(
     df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[list[pa.Array]]], add: StructType, hide: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Add columns made from each Arrow batch. ``fn`` gets an iterator of batches and yields, batch by batch, one
-    array per added field. Columns in ``hide`` are inputs that are not handed on; a kept column that clashes with an
+    """Add columns made from each Arrow batch. ``fn`` gets an iterator of batches of at most ``SLICE`` rows and yields,
+    batch by batch, one array per added field. Columns in ``hide`` are inputs that are not handed on; a kept column that clashes with an
     added one is replaced by it."""
     drop = {n.lower() for n in (*add.names, *hide)}
     kept = [i for i, c in enumerate(df.columns) if c.lower() not in drop]
@@ -62,8 +66,10 @@ def arrow_map(
 
         def feed():
             for b in batches:
-                seen.append(b)
-                yield b
+                for at in range(0, b.num_rows, SLICE):
+                    part = b.slice(at, SLICE)
+                    seen.append(part)
+                    yield part
 
         for arrays in fn(feed()):
             b = seen.pop(0)
