@@ -109,15 +109,15 @@ def cross_pairs(left: np.ndarray, right: np.ndarray, max_bits: int, rows: int =
 
 
 def _groups(batches):
-    """Arrow batches sorted by all columns but the last two (side, fp), re-cut so that no group spans two pieces."""
+    """Arrow batches sorted by their first three columns, re-cut so that no group spans two pieces."""
     held: list[list[np.ndarray]] = []
     for batch in batches:
         cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(batch.num_columns)]
         cut = np.zeros(max(len(cols[0]) - 1, 0), bool)
-        for c in cols[:-2]:
+        for c in cols[:3]:
             cut |= c[1:] != c[:-1]
         edges = np.flatnonzero(cut) + 1
-        if held and len(cols[0]) and any(h[-1] != c[0] for h, c in zip(held[-1][:-2], cols[:-2])):
+        if held and len(cols[0]) and any(h[-1] != c[0] for h, c in zip(held[-1][:3], cols[:3])):
             yield [np.concatenate(x) for x in zip(*held)]
             held = []
         if len(edges):
@@ -130,12 +130,15 @@ def _groups(batches):
 
 
 def _links(max_bits: int, small: int = 48):
-    """Rows (bucket, x, y, side, fp), sorted, to a spanning forest of each task's links."""
+    """Rows (bucket, x, y, side, fp, grp), sorted, to the links between groups that a task finds: a spanning forest, so
+    no more of them than groups, however many rows are close."""
 
     def run(batches):
         forest = Forest()
-        for bucket, x, y, side, fp in _groups(batches):
+        for bucket, x, y, side, fp, grp in _groups(batches):
             fps = fp.view(np.uint64)
+            order = np.argsort(fps, kind="stable")
+            named = lambda f: grp[order[np.searchsorted(fps[order], f)]].tolist()  # noqa: B023, E731
             edge = np.flatnonzero((np.diff(bucket) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0)) + 1
             starts, stops = np.concatenate([[0], edge]), np.concatenate([edge, [len(fps)]])
             size = np.repeat(stops - starts, stops - starts)
@@ -147,7 +150,7 @@ def _links(max_bits: int, small: int = 48):
                 if b - a > small:
                     part, s = fps[a:b], side[a:b]
                     found += cross_pairs(part[s == 1], part[s == 0], max_bits)
-            out = [(p, q) for a, b in found for p, q in zip(a.view(np.int64).tolist(), b.view(np.int64).tolist()) if forest.join(p, q)]
+            out = [(p, q) for a, b in found for p, q in zip(named(a), named(b)) if forest.join(p, q)]
             if out:
                 p, q = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(p, pa.int64()), pa.array(q, pa.int64())], names=["a", "b"])
@@ -163,20 +166,20 @@ def _keyed(fps: DataFrame, agree: int, blocks: int) -> DataFrame:
 
 
 def _linked(rows: DataFrame, max_bits: int) -> DataFrame:
-    rows = rows.select("bucket", "x", "y", "side", "fp")
+    rows = rows.select("bucket", "x", "y", "side", "fp", "grp")
     dealt = rows.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "side", "fp")
     return dealt.mapInArrow(_links(max_bits), "a long, b long").distinct()
 
 
-def links(fps: DataFrame, max_bits: int = 4, blocks: int = 6) -> DataFrame:
-    """Links ``(a, b)`` between distinct fingerprints ``fp`` that span every group within ``max_bits``.
+def links(fps: DataFrame, max_bits: int = 4, blocks: int = 6) -> tuple[DataFrame, DataFrame]:
+    """Distinct fingerprints ``fp`` with a group ``grp`` each, and the links ``(a, b)`` between groups that are left.
 
     First pass: rows that differ inside one block only (a bucket holds at most one row per value of that block). They
     label the rows, as far as two rounds get. Second pass: all buckets, but only pairs of rows with different labels are left to
     find; per bucket the rows outside the most common label meet all rows, in cells of ``CELL``."""
     zero = F.lit(0)
     once = _keyed(fps, blocks - 1, blocks)
-    first = stored(_linked(once.select("bucket", zero.alias("x"), zero.alias("y"), F.explode(F.array(zero, zero + 1)).alias("side"), "fp"), max_bits), "links")
+    first = stored(_linked(once.select("bucket", zero.alias("x"), zero.alias("y"), zero.alias("side"), "fp", F.col("fp").alias("grp")), max_bits), "links")
     names = components(first, rounds=2).withColumnRenamed("node", "fp")
     rows = stored(fps.join(names, "fp", "left").select("fp", F.coalesce("component", "fp").alias("grp")), "labelled")
     keyed = _keyed(rows, blocks - max_bits, blocks)
@@ -189,9 +192,9 @@ def links(fps: DataFrame, max_bits: int = 4, blocks: int = 6) -> DataFrame:
     met = keyed.join(sizes, "bucket")
     spread = lambda k: F.pmod(F.xxhash64(F.lit("cell"), "fp"), F.col(k)).cast("int")
     every = lambda k: F.explode(F.sequence(zero, F.col(k) - 1))
-    right = met.select("bucket", every("minors").alias("x"), spread("cells").alias("y"), zero.alias("side"), "fp")
-    left = met.where("grp <> major").select("bucket", spread("minors").alias("x"), every("cells").alias("y"), (zero + 1).alias("side"), "fp")
-    return first.unionByName(_linked(right.unionByName(left), max_bits))
+    right = met.select("bucket", every("minors").alias("x"), spread("cells").alias("y"), zero.alias("side"), "fp", "grp")
+    left = met.where("grp <> major").select("bucket", spread("minors").alias("x"), every("cells").alias("y"), (zero + 1).alias("side"), "fp", "grp")
+    return rows, _linked(right.unionByName(left), max_bits)
 
 
 def groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks: int = 6) -> DataFrame:
@@ -203,8 +206,9 @@ def groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks: int = 6
     """
     base = stored(fingerprints(docs, "text", shingle, ("text",)), "fps")
     reps = stored(base.groupBy("fp").agg(F.min("doc_id").alias("least")), "reps")
-    found = components(links(reps.select("fp"), max_bits, blocks)).withColumnsRenamed({"node": "fp", "component": "grp"})
-    known = reps.join(found, "fp", "left").withColumn("grp", F.coalesce("grp", "fp"))
+    rows, left = links(reps.select("fp"), max_bits, blocks)
+    found = components(left).withColumnsRenamed({"node": "grp", "component": "whole"})
+    known = reps.join(rows, "fp").join(found, "grp", "left").select("fp", "least", F.coalesce("whole", "grp").alias("grp"))
     ids = known.groupBy("grp").agg(F.min("least").alias("component_id"))
     return base.join(known.join(ids, "grp").select("fp", "grp", "component_id"), "fp")
 
