@@ -37,7 +37,7 @@ HEAD = "<8s32sIQQ"
 HEAD_BYTES = struct.calcsize(HEAD)
 END = 1
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 50_000, 32_768
-LEVEL = 3
+LEVEL = 1
 SHARD_BYTES = 64 << 20
 NO_ID = -(1 << 63)
 
@@ -129,8 +129,9 @@ class Encoder:
 
 def dictionary(docs: DataFrame, tokenizer: str, doc_id: str, text: str) -> bytes:
     """The shared dictionary, trained on the bounded sample; empty if there is too little to train on."""
+    chosen = docs.select(F.col(doc_id).alias("i")).distinct().orderBy(F.xxhash64("i"), "i").limit(SAMPLE_DOCS)
     short = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")).where(F.length("t") <= SAMPLE_CHARS)
-    rows = short.orderBy(F.xxhash64("i"), "i", F.xxhash64("t")).limit(SAMPLE_DOCS).collect()
+    rows = short.join(F.broadcast(chosen), "i").groupBy("i").agg(F.min("t").alias("t")).orderBy("i").collect()
     encoder = Encoder(tokenizer)
     arrays = [a for a in encoder.encode([r.t.encode() for r in rows]) if len(a) >= 16]
     if len(arrays) < 20 or sum(map(len, arrays)) < 16 * DICTIONARY_BYTES:
