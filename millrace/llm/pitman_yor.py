@@ -41,8 +41,8 @@ from pyspark.sql import functions as F
 
 from .common import raw, scratch, stored
 
-CHUNK = 4_000_000
-BUCKET_BYTES = 14 << 20
+CHUNK = 1_500_000
+BUCKET_BYTES = 10 << 20
 CHAINS, MOVES = 3, 8
 STRENGTH, ROOT_STRENGTH, ROOT_DISCOUNT = 1.0, 10.0, 0.75
 END, BEGIN = b"\n", b"\t"
