@@ -7,10 +7,12 @@ and one unknown. The predictive probability of ``w`` after ``u`` is
     (c(u,w) - d t(u,w)) / (s + c(u)) + (s + d t(u)) / (s + c(u)) * P(w)
 
 and P(w) the same over the parent's counts. The contexts' discount comes
-from the counts of counts (n1 / (n1 + 2 n2)). ``CHAINS``
-independent seatings are sampled: each starts from a sequential draw and reseats a random customer of every dish ``MOVES``
-times, contexts first (given the parent's probabilities), then the parent (given the tables the contexts opened). Scores
-use the mean of the chains' predictive probabilities. A dish with one customer has one table, whatever the chain.
+from the counts of counts (n1 / (n1 + 2 n2)). ``CHAINS`` independent chains alternate between the contexts, given the
+parent's probabilities, and the parent, given the tables the contexts opened. In a sweep all customers of a dish are
+reseated at once: its number of tables is drawn from the exact conditional, proportional to a generalised Stirling number
+times rate^tables, whatever its count. After ``BURN_IN`` sweeps of both, the next ``KEPT`` are samples; scores use the mean
+of the predictive probabilities over the samples of all chains. The share of the parent that is left for new tables is
+taken as spread evenly when the contexts are drawn. A dish with one customer has one table, whatever the chain.
 
 Work is dealt by context: a task turns its texts into chunks of ``CHUNK`` tokens and asks each bucket (a range of word
 hashes) about its distinct words and the distinct pairs whose context lies there; words that a sample shows to be very
@@ -26,6 +28,7 @@ uniform base.
 
 from __future__ import annotations
 
+import math
 import pickle
 import zlib
 
@@ -43,7 +46,9 @@ from .common import raw, scratch, stored
 
 CHUNK = 1_500_000
 BUCKET_BYTES = 10 << 20
-CHAINS, MOVES = 3, 8
+CHAINS, BURN_IN, KEPT = 3, 4, 2
+SAMPLES = CHAINS * KEPT
+TABLE, POINTS, CELLS = 1000, 64, 200_000
 STRENGTH, ROOT_STRENGTH, ROOT_DISCOUNT = 1.0, 10.0, 0.75
 END, BEGIN = b"\n", b"\t"
 FOLLOW = 40
@@ -260,92 +265,131 @@ def contexts_of_dishes(buckets: int):
     return run
 
 
-def first_probabilities(buckets: int, tables: int, words: int, discount: float):
-    """At the dishes: merged numbers of contexts (src -1), and to each asking bucket the parent's probabilities with
-    one table a dish."""
+def first_weights(discount: float):
+    """At the dishes: merged numbers of contexts (dst -1 - bucket), and to each asking bucket the dishes' weights in the
+    parent with one table a dish, for every chain."""
 
     def run(batches):
         for bucket, got in _grouped(batches):
             dishes, at = np.unique(np.concatenate([unfive(a[0]) for _, a in got]), return_inverse=True)
             served = np.bincount(at, np.concatenate([a[1] for _, a in got]), len(dishes))
-            p = (served - discount) / (ROOT_STRENGTH + tables) + (ROOT_STRENGTH + discount * words) / (ROOT_STRENGTH + tables) / (words + 1)
+            p = (served - discount).astype(np.float32)
             out, lo = [(-1 - bucket, bucket, pack(five(dishes), served.astype(np.uint32)))], 0
             for src, (follow, _, wanted) in got:
                 mine = at[lo : lo + len(follow)]
                 lo += len(follow)
                 if wanted.any():
-                    out.append((src, bucket, pack(p[mine[wanted > 0]].astype(np.float32))))
+                    out.append((src, bucket, pack(*[p[mine[wanted > 0]]] * CHAINS)))
             yield _blobs(out)
 
     return run
 
 
-def seat(customers, prior, context, tables, discount, strength, moves, rng, shared: bool):
-    """Sampled numbers of tables. ``customers`` per dish (2 or more), ``prior``: the parent's probability, ``context``:
-    the dish's restaurant, ``tables``: each restaurant's tables (one a dish so far; changed here unless ``shared``)."""
-    n = len(customers)
-    if not n:
-        return np.empty(0, np.int64)
-    # sequential draw, in steps of a quarter of those seated
-    seated, open_ = np.ones(n, np.int64), np.ones(n, np.int64)
-    live = np.arange(n)
-    weight = (strength + discount * tables[context]) * prior
-    while len(live):
-        more = np.minimum(customers[live] - seated[live], np.maximum(1, seated[live] // 4))
-        chance = weight[live] / (weight[live] + seated[live] - discount * open_[live])
-        open_[live] += rng.binomial(more, chance)
-        seated[live] += more
-        live = live[seated[live] < customers[live]]
-    if not shared:
-        np.add.at(tables, context, open_ - 1)
-    # tables as slots: a dish has room for those it opened and one more a move
-    room = open_ + moves
-    start = np.cumsum(room) - room
-    size = np.zeros(int(room.sum()), np.int32)
-    dish = np.repeat(np.arange(n), room)
-    rank = np.arange(len(size)) - start[dish]
-    taken = rank < open_[dish]
-    size[taken] = 1
-    share = np.where(taken, rng.standard_gamma(1 - discount, len(size)), 0.0)
-    share /= np.maximum(np.bincount(dish, share, n), 1e-300)[dish]
-    spare = (customers - open_)[dish] * share
-    size += spare.astype(np.int32)
-    short = customers - np.bincount(dish, size, n).astype(np.int64)
-    size[start] += short.astype(np.int32)
-    used = open_.copy()
-    every = np.arange(n)
+def stirling_rows(top: int, discount: float) -> list[np.ndarray]:
+    """Element ``c``: logarithms of the generalised Stirling numbers S(c, 1..c), by their recursion."""
+    rows = [np.zeros(0), np.zeros(1)]
+    for c in range(1, top):
+        row = np.full(c + 1, -np.inf)
+        row[:c] = rows[c] + np.log(c - discount * np.arange(1, c + 1))
+        row[1:] = np.logaddexp(row[1:], rows[c])
+        rows.append(row)
+    return rows
+
+
+def log_factorial(t: np.ndarray) -> np.ndarray:
+    x = np.asarray(t, np.float64) + 8
+    series = (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+    return series - np.log((x - 1) * (x - 2) * (x - 3) * (x - 4) * (x - 5) * (x - 6) * (x - 7))
+
+
+def log_stirling(c: int, t: np.ndarray, discount: float) -> np.ndarray:
+    """log S(c, t) for large ``c``: c! / (t! d^t) times the coefficient of z^c in (1 - (1 - z)^d)^t."""
+    return math.lgamma(c + 1) - log_factorial(t) - t * math.log(discount) + log_coefficient(c, t, discount)
+
+
+def log_coefficient(c: int, t: np.ndarray, discount: float, nodes: int = 48) -> np.ndarray:
+    """Log of the coefficient of z^c in (1 - (1 - z)^d)^t, by the trapezoid rule on a parabola through the saddle point
+    around the cut of s = 1 - z."""
+    t, d = np.asarray(t, np.float64), discount
+    lo, hi = np.full(len(t), np.log(2 / (c + 1))), np.full(len(t), -1e-12)
+    for _ in range(26):
+        mid = (lo + hi) / 2
+        s = np.exp(mid)
+        above = (c + 1) * -np.expm1(d * mid) * s ** (1 - d) > t * d * -np.expm1(mid)
+        hi, lo = np.where(above, mid, hi), np.where(above, lo, mid)
+    s = np.exp(lo)
+    e, f = -np.expm1(d * lo), -np.expm1(lo)  # 1 - s^d, 1 - s
+    slope = (c + 1) / f - t * d * s ** (d - 1) / e
+    bend = t * d * ((1 - d) * s ** (d - 2) * e - d * s ** (2 * d - 2)) / e**2 + (c + 1) / f**2
+    reach = 1.2 * np.sqrt(45 / np.maximum(slope * s + 2 * bend * s * s, 1e-9))
+    y = (np.arange(nodes) + 0.5) / nodes * reach[:, None]
+    w = s[:, None] * (1 - 1j * y) ** 2
+    top = t * np.log(e) - (c + 1) * np.log(f)
+    value = np.exp(t[:, None] * np.log(1 - w**d) - (c + 1) * np.log(1 - w) - top[:, None]) * (1 - 1j * y)
+    area = 2 * s / np.pi * value.real.sum(1) * reach / nodes
+    found = top + np.log(np.maximum(area, 1e-300))
+    near = math.log((1 - d) * c * (c - 1) / 2) + log_factorial(t) + t * math.log(d) - math.lgamma(c + 1)
+    return np.where(t == c, c * math.log(d), np.where(t == c - 1, near, found))
+
+
+def _span(t: np.ndarray, logs: np.ndarray, least: float, most: float) -> tuple[int, int]:
+    """Places in ``t`` between which all weight lies, for log rates from ``least`` to ``most``."""
+    low, high = logs + t * least, logs + t * most
+    return int(np.argmax(low > low.max() - 45)), len(t) - 1 - int(np.argmax((high > high.max() - 45)[::-1]))
+
+
+def draw_tables(customers: np.ndarray, rate: np.ndarray, discount: float, rng) -> np.ndarray:
+    """Independent draws of t = 1..c with probability proportional to S(c, t) rate^t, whatever the count c. Up to ``TABLE``
+    customers the numbers come from the recursion, beyond from the integral, whose smooth part is
+    interpolated where more than ``POINTS`` t have weight."""
+    out = np.ones(len(customers), np.int64)
+    logs = np.log(np.maximum(rate, 1e-300))
+    order = np.lexsort((logs, customers))
+    rows = stirling_rows(int(min(TABLE, customers.max(initial=1))), discount)
+    starts = np.flatnonzero(np.diff(customers[order], prepend=-1))
+    for lo, end in zip(starts.tolist(), [*starts[1:].tolist(), len(order)]):
+        c = int(customers[order[lo]])
+        while lo < end:
+            if c <= TABLE:
+                hi, t = min(end, lo + max(64, CELLS // c)), np.arange(1, c + 1)
+                least, most, found = logs[order[lo]], logs[order[hi - 1]], rows[c]
+                first, last = _span(t, found, least, most)
+                t, found = t[first : last + 1], found[first : last + 1]
+            else:
+                least = logs[order[lo]]
+                hi = lo + int(np.searchsorted(logs[order[lo:end]], least + 0.5, "right"))
+                hi = min(hi, lo + 64)
+                most, low, high = logs[order[hi - 1]], 1, c
+                for points in (24, 24, POINTS):
+                    t = np.unique(np.rint(np.geomspace(low, high, points)).astype(np.int64)) if high - low >= points else np.arange(low, high + 1)
+                    smooth = log_coefficient(c, t, discount)
+                    first, last = _span(t, smooth - log_factorial(t) - t * math.log(discount), least, most)
+                    low, high = int(t[max(0, first - 1)]), int(t[min(len(t) - 1, last + 1)])
+                every = np.arange(low, high + 1)
+                t, found = every, np.interp(every, t, smooth) - log_factorial(every) - every * math.log(discount)
+            at = order[lo:hi]
+            mass = found + t * logs[at][:, None]
+            mass = np.cumsum(np.exp(mass - mass.max(1, keepdims=True)), axis=1)
+            out[at] = t[np.minimum((mass < rng.random(len(at))[:, None] * mass[:, -1:]).sum(1), len(t) - 1)]
+            lo = hi
+    return out
+
+
+def seat(customers, prior, context, tables, discount, strength, moves, rng, shared: bool, open_=None, gamma=None):
+    """Sampled numbers of tables after ``moves`` sweeps. ``customers`` per dish (2 or more), ``prior``: the parent's
+    probability, ``context``: the dish's restaurant, ``tables``: each restaurant's tables (changed here unless
+    ``shared``), ``open_``: the dishes' tables that these include (else one a dish).
+
+    A sweep draws a gamma variable of shape strength / discount + tables for each restaurant (or takes ``gamma``, drawn
+    where all of a shared restaurant is known). Given these the dishes are independent, and each is drawn from its exact
+    conditional, all its customers at once."""
+    open_ = np.ones(len(customers), np.int64) if open_ is None else open_
     for _ in range(moves):
-        # a random customer of every dish leaves
-        ends = np.cumsum(size, dtype=np.int64)
-        before = ends[start] - size[start]
-        slot = np.searchsorted(ends, before + rng.integers(0, customers), "right")
-        size[slot] -= 1
-        gone = size[slot] == 0
-        open_ -= gone
+        drawn = rng.standard_gamma(strength / discount + tables) if gamma is None else gamma
+        new = draw_tables(customers, discount * drawn[context] * prior, discount, rng)
         if not shared:
-            np.subtract.at(tables, context[gone], 1)
-        # and is seated again: at a new table, or at one by its size less the discount
-        weight = (strength + discount * tables[context]) * prior
-        rest = customers - 1 - discount * open_
-        fresh = rng.random(n) * (weight + rest) < weight
-        new = np.where(gone, slot, start + used)
-        used += fresh & ~gone
-        size[new[fresh]] = 1
-        open_ += fresh
-        if not shared:
-            np.add.at(tables, context[fresh], 1)
-        old = every[~fresh]
-        mass = np.cumsum(np.where(size > 0, size - discount, 0.0))
-        floor = mass[start[old]] - np.where(size[start[old]] > 0, size[start[old]] - discount, 0.0)
-        top = mass[start[old] + room[old] - 1]
-        pick = np.clip(np.searchsorted(mass, floor + rng.random(len(old)) * (top - floor), "right"), start[old], start[old] + room[old] - 1)
-        empty = size[pick] == 0  # rounding only
-        if empty.any():
-            first = np.full(n, len(size))
-            filled = np.flatnonzero(size > 0)
-            np.minimum.at(first, dish[filled], filled)
-            pick[empty] = first[old[empty]]
-        size[pick] += 1
+            np.add.at(tables, context, new - open_)
+        open_ = new
     return open_
 
 
@@ -365,99 +409,113 @@ def by_key(rows: DataFrame, name: str) -> str:
     return path
 
 
-def sample_contexts(buckets: int, path: str, hot: dict[int, tuple], discount: float):
-    """Seatings of a bucket's contexts: its own tables (dst: -1 - bucket), the spread contexts' additional tables (dst:
-    ``1 << 40``) and messages of additional tables to the dishes' buckets."""
+def own_rows(path: str, bucket: int):
+    """A bucket's own arrays of a round."""
+    return unpack(_folder(path, -1 - bucket)[0][2])
+
+
+def sample_contexts(buckets: int, turn: int, path: str, before: str | None, hot: dict[int, tuple], discount: float, gammas, rest, scale):
+    """Seatings of a bucket's contexts: its own additional tables (dst: -1 - bucket), the spread contexts' (dst:
+    ``1 << 40``) and messages of additional tables to the dishes' buckets. The parent's probabilities come from the weights
+    in ``path``, ``rest`` and ``scale`` of each chain; ``before``: the last round's seatings; ``gammas``: of the spread
+    contexts, by chain."""
 
     def run(batches):
         for b in batches:
             for bucket, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 s = State(blob)
                 wanted = np.unique(s.follow[s.open])
-                given = [unpack(r[2])[0] for r in _folder(path, bucket)]
-                prior = np.concatenate(given) if given else np.empty(0)
+                given = [unpack(r[2]) for r in _folder(path, bucket)]
                 at = np.searchsorted(wanted, s.follow[s.open])
                 _, least = s.totals(hot)
-                context = s.slot(s.context[s.open])
-                found = []
+                context, n, m = s.slot(s.context[s.open]), len(s.open), len(s.words)
+                last = [x.astype(np.int64) for x in own_rows(before, bucket)] if before else [np.zeros(n, np.int64)] * CHAINS
+                prior, drawn = np.empty(CHAINS * n), []
+                rng = np.random.default_rng([turn, bucket, 17])
                 for chain in range(CHAINS):
-                    rng = np.random.default_rng([chain, bucket, 17])
-                    found.append(seat(s.count[s.open], prior[at].astype(np.float64), context, least.copy(), discount, STRENGTH, MOVES, rng, False))
-                more = [f - 1 for f in found]
-                out = [(-1 - bucket, bucket, pack(*[m.astype(np.uint32) for m in more]))]
-                spread = context >= len(s.words)
-                ids, to = np.unique(context[spread] - len(s.words), return_inverse=True)
-                out.append((1 << 40, bucket, pack(ids, *[np.bincount(to, m[spread], len(ids)) for m in more], *[int(m.sum()) for m in more])))
-                out += messages(bucket, buckets, wanted, [np.bincount(at, m, len(wanted)) for m in more])
+                    weight = np.concatenate([g[chain] for g in given]) if given else np.empty(0)
+                    prior[chain * n : chain * n + n] = ((weight + rest[chain]) / scale[chain])[at]
+                    shape = least[:m] + np.bincount(context[context < m], last[chain][context < m], m)
+                    drawn += [rng.standard_gamma(STRENGTH / discount + shape), [gammas[chain].get(k, 0.0) for k in range(len(least) - m)]]
+                # all chains at once: the chains' restaurants stand one behind the other
+                slots = np.concatenate([context + chain * len(least) for chain in range(CHAINS)])
+                found = seat(np.tile(s.count[s.open], CHAINS), prior, slots, None, discount, STRENGTH, 1, rng, True, gamma=np.concatenate(drawn))
+                more = list(found.reshape(CHAINS, n) - 1)
+                out = [(-1 - bucket, bucket, pack(*[x.astype(np.uint32) for x in more]))]
+                spread = context >= m
+                ids, to = np.unique(context[spread] - m, return_inverse=True)
+                out.append((1 << 40, bucket, pack(ids, *[np.bincount(to, x[spread], len(ids)) for x in more], *[int(x.sum()) for x in more])))
+                out += messages(bucket, buckets, wanted, [np.bincount(at, x, len(wanted)) for x in more])
                 yield _blobs(out)
 
     return run
 
 
-def sample_parent(path: str, words: int, discount: float):
-    """At the dishes: customers of the parent per chain (contexts plus additional tables) and sampled tables, one row a
-    bucket, with the total tables per chain as ``src``-th element of the blob's end."""
+def sample_parent(turn: int, path: str, first: str, words: int, discount: float, gammas):
+    """At the dishes: customers of the parent per chain (contexts plus additional tables) and sampled tables (dst: -1 -
+    bucket), to each asking bucket the dishes' weights, drawn from the parent's posterior given its seating, and the sums of
+    tables and weights per chain (dst: ``1 << 40``)."""
 
     def run(batches):
         for b in batches:
-            for (bucket,) in zip(b.column(0).to_pylist()):
-                rows = _folder(path, bucket)
-                base = [unpack(r[2]) for r in rows if r[1] < 0]
+            for bucket in b.column(0).to_pylist():
+                base = _folder(first, -1 - bucket)
                 if not base:
                     continue
-                dishes, served = unfive(base[0][0]), base[0][1].astype(np.int64)
-                customers = [served.copy() for _ in range(CHAINS)]
-                for r in rows:
-                    if r[1] >= 0:
-                        follow, *more = unpack(r[2])
-                        at = np.searchsorted(dishes, unfive(follow))
-                        for c, m in zip(customers, more):
-                            np.add.at(c, at, m.astype(np.int64))
-                tables = []
-                for chain, c in enumerate(customers):
-                    rng = np.random.default_rng([chain, bucket, 29])
-                    t, many = np.ones(len(c), np.int64), np.flatnonzero(c >= 2)
-                    prior = np.full(len(many), 1 / (words + 1))
-                    t[many] = seat(c[many], prior, np.zeros(len(many), np.int64), np.array([float(words)]), discount, ROOT_STRENGTH, MOVES, rng, True)
-                    tables.append(t)
-                blob = pack(five(dishes), *[c.astype(np.uint32) for c in customers], *[t.astype(np.uint32) for t in tables])
-                yield _rows([(bucket, 0, blob, [int(t.sum()) for t in tables])], ["dst", "src", "blob", "tables"], [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())])
+                dishes, served = unpack(base[0][2])
+                dishes, served = unfive(dishes), served.astype(np.int64)
+                customers, asked = np.tile(served, (CHAINS, 1)), []
+                for _, src, blob in _folder(path, bucket):
+                    follow, *more = unpack(blob)
+                    at = np.searchsorted(dishes, unfive(follow))
+                    asked.append((src, at))
+                    for c, m in zip(customers, more):
+                        c[at] += m
+                rng = np.random.default_rng([turn, bucket, 29])
+                tables = np.ones_like(customers)
+                chain, many = np.nonzero(customers >= 2)
+                tables[chain, many] = seat(customers[chain, many], np.full(len(many), 1 / (words + 1)), chain, None, discount, ROOT_STRENGTH, 1, rng, True, gamma=gammas)
+                weight = rng.standard_gamma(customers - discount * tables)
+                out = [(-1 - bucket, bucket, pack(five(dishes), *[c.astype(np.uint32) for c in customers], *[t.astype(np.uint32) for t in tables]))]
+                out.append((1 << 40, bucket, pack([int(x) for x in tables.sum(1)], [float(x) for x in weight.sum(1)])))
+                out += [(src, bucket, pack(*weight[:, at].astype(np.float32))) for src, at in asked]
+                yield _blobs(out)
 
     return run
 
 
-def answer(path: str, hot: dict[int, tuple], discount: float):
+def answer(kept_turns: list[tuple], hot: dict[int, tuple], words: int, discount: float, root_discount: float):
     """Rows (dst: chunk, src: bucket, blob): for the chunk's words, in its order, the training count, the context's
-    customers and tables per chain, the parent's customers and tables per chain; for its pairs the mean of customers
-    less discounted tables."""
+    customers, its tables and the parent's probability in every sample; for its pairs the mean of customers less discounted
+    tables. ``kept_turns``: of each kept round the seatings, the parent's, and by chain the spread contexts' additional
+    tables, the parent's customers and its tables."""
 
     def run(batches):
         for b in batches:
             for bucket, blob, align in zip(*(b.column(k).to_pylist() for k in (0, 1, 2))):
                 s = State(blob)
-                found = {kind: unpack(r[2]) for r in _folder(path, bucket) for kind in [r[1]]}
-                more, parent = found[0], found.get(1)
                 customers, least = s.totals(hot)
-                context = s.slot(s.context[s.open])
-                kept = np.where(s.count > 0, s.count - discount, 0.0).astype(np.float32)
-                if len(s.open):
-                    kept[s.open] = s.count[s.open] - discount * (1 + np.mean([m.astype(np.float64) for m in more], axis=0))
-                tables = []
-                for k, m in enumerate(more):
-                    t = least.copy()
-                    np.add.at(t, context, m.astype(np.float64))
-                    for h, v in hot.items():
-                        t[len(s.words) + h] = v[1] + v[2][k]
-                    tables.append(t.astype(np.uint32))
+                context, n = s.slot(s.context[s.open]), len(s.words)
                 dish = s.words >> np.uint64(64 - FOLLOW)
-                if parent is not None:
-                    dishes = unfive(parent[0])
-                    at = np.minimum(np.searchsorted(dishes, dish), len(dishes) - 1)
-                    hit = dishes[at] == dish
-                    root = [np.where(hit, v[at], 0).astype(np.uint32) for v in parent[1:]]
-                else:
-                    root = [np.zeros(len(dish), np.uint32)] * (2 * CHAINS)
-                n = len(s.words)
+                tables, root, total = [], [], np.zeros(len(s.open))
+                for seated, parents, extra, guests, sent in kept_turns:
+                    parent = _folder(parents, -1 - bucket)
+                    parent = unpack(parent[0][2]) if parent else None
+                    if parent is not None:
+                        dishes = unfive(parent[0])
+                        at = np.minimum(np.searchsorted(dishes, dish), len(dishes) - 1)
+                        hit = dishes[at] == dish
+                    for k, m in enumerate(own_rows(seated, bucket)):
+                        total += m
+                        t = least + np.bincount(context, m, len(least))
+                        for h, v in hot.items():
+                            t[n + h] = v[1] + extra[k].get(h, 0)
+                        tables.append(t.astype(np.uint32))
+                        here = np.where(hit, parent[1 + k][at] - root_discount * parent[1 + CHAINS + k][at], 0.0) if parent is not None else np.zeros(n)
+                        p = (here + (ROOT_STRENGTH + root_discount * sent[k]) / (words + 1)) / (ROOT_STRENGTH + guests[k])
+                        root.append(p.astype(np.float32))
+                kept = np.where(s.count > 0, s.count - discount, 0.0).astype(np.float32)
+                kept[s.open] = s.count[s.open] - discount * (1 + total / len(tables))
                 columns = [s.seen, customers[:n].astype(np.uint32), *[t[:n] for t in tables], *root]
                 whole = [customers[n:].astype(np.uint32), *[t[n:] for t in tables]]
                 out = []
@@ -499,7 +557,7 @@ def texts_of_chunks(buckets: int, hot: np.ndarray):
     return run
 
 
-def scorer(tokens: int, words: int, customers: list[int], tables: list[int], discount: float, root_discount: float):
+def scorer(tokens: int, words: int, discount: float):
     """Scores of each chunk's texts, given its texts and the buckets' answers."""
 
     def run(batches):
@@ -509,25 +567,23 @@ def scorer(tokens: int, words: int, customers: list[int], tables: list[int], dis
             keys, train, lengths, split, numbers, context_gaps, follower, spread = got[0][1]
             lengths = lengths.astype(np.int64)
             answers = [a for _, a in got[1:]]
-            columns = [np.concatenate([a[0][k] for a in answers]).astype(np.float64) for k in range(2 + 3 * CHAINS)]
+            columns = [np.concatenate([a[0][k] for a in answers]).astype(np.float64) for k in range(2 + 2 * SAMPLES)]
             kept = np.concatenate([a[1] for a in answers] + [a[2] for a in answers]).astype(np.float64)
-            seen, guests, here = columns[0], columns[1], columns[2 : 2 + CHAINS]
-            root = columns[2 + CHAINS :]
+            seen, guests, here = columns[0], columns[1], columns[2 : 2 + SAMPLES]
+            root = columns[2 + SAMPLES :]
             context = np.cumsum(context_gaps.astype(np.int64))
             if len(kept) != len(context):
                 raise ValueError("the input changed between two passes")
-            whole = [np.maximum.reduce([a[3][k] for a in answers]).astype(np.float64) for k in range(1 + CHAINS)]
+            whole = [np.maximum.reduce([a[3][k] for a in answers]).astype(np.float64) for k in range(1 + SAMPLES)]
             total = guests[context]
             if spread is not None:
                 total = np.where(spread >= 0, whole[0][np.maximum(spread, 0)] if len(whole[0]) else 0, total)
             p = np.zeros(len(context))
-            for k in range(CHAINS):
-                parent = np.where(root[k] > 0, root[k] - root_discount * root[CHAINS + k], 0) / (ROOT_STRENGTH + customers[k])
-                parent += (ROOT_STRENGTH + root_discount * tables[k]) / (ROOT_STRENGTH + customers[k]) / (words + 1)
+            for k in range(SAMPLES):
                 t = here[k][context]
                 if spread is not None:
                     t = np.where(spread >= 0, whole[1 + k][np.maximum(spread, 0)] if len(whole[1 + k]) else 0, t)
-                p += np.where(total > 0, (STRENGTH + discount * t) / (STRENGTH + total), 1.0) * parent[follower] / CHAINS
+                p += np.where(total > 0, (STRENGTH + discount * t) / (STRENGTH + total), 1.0) * root[k][follower] / SAMPLES
             p += np.where(total > 0, kept / (STRENGTH + total), 0.0)
             log, base = np.log10(p), np.log10((seen + 0.5) / (tokens + 0.5 * (words + 1)))
             at = np.zeros(len(split[0]), np.int64)
@@ -583,35 +639,40 @@ def score(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     for r in states.select("stats", "hot").collect():  # a few numbers a bucket
         sums = [a + b for a, b in zip(sums, r.stats)]
         for k, c, t in zip(*(x.tolist() for x in unpack(r.hot))):
-            got = spread.setdefault(k, [0.0, 0.0, [0.0] * CHAINS])
+            got = spread.setdefault(k, [0.0, 0.0])
             got[0] += c
             got[1] += t
     tokens, words, tables, ones, twos = sums
     discount, root_discount = min(0.95, max(0.1, ones / max(1, ones + 2 * twos))), ROOT_DISCOUNT
     own = states.select("bucket", "state")
-    first = _dealt(own.mapInArrow(contexts_of_dishes(buckets), MESSAGE)).mapInArrow(first_probabilities(buckets, tables, words, root_discount), MESSAGE)
-    first = stored(first, "first")
-    wanted = by_key(first.where("dst >= 0"), "wanted")
-    seated = stored(own.mapInArrow(sample_contexts(buckets, wanted, spread, discount), MESSAGE), "seated")
-    customers = [tables] * CHAINS
-    for r in seated.where(F.col("dst") == 1 << 40).collect():  # spread contexts: at most two a bucket
-        ids, *more = unpack(r.blob)
-        for k in range(CHAINS):
-            customers[k] += more[CHAINS + k]
-            for h, m in zip(ids.tolist(), more[k].tolist()):
-                spread[h][2][k] += m
-    to_dishes = first.where("dst < 0").select((-1 - F.col("dst")).alias("dst"), F.lit(-1).cast("long").alias("src"), "blob").unionByName(
-        seated.where((F.col("dst") >= 0) & (F.col("dst") < 1 << 40))
-    )
-    dishes = by_key(to_dishes, "dishes")
-    parent = stored(own.select("bucket").mapInArrow(sample_parent(dishes, words, root_discount), MESSAGE + ", tables array<bigint>"), "parent")
-    root_tables = [sum(x) for x in zip(*(r.tables for r in parent.select("tables").collect()))] or [0] * CHAINS
-    found = by_key(
-        seated.where("dst < 0").select((-1 - F.col("dst")).alias("dst"), F.lit(0).cast("long").alias("src"), "blob").unionByName(
-            parent.select("dst", F.lit(1).cast("long").alias("src"), "blob")
-        ), "found",
-    )
-    answers = states.select("bucket", "state", "align").mapInArrow(answer(found, spread, discount), MESSAGE)
+    first = by_key(_dealt(own.mapInArrow(contexts_of_dishes(buckets), MESSAGE)).mapInArrow(first_weights(root_discount), MESSAGE), "first")
+    rng = np.random.default_rng(41)
+    weights, seated, kept = first, None, []
+    extra, root_tables = [{} for _ in range(CHAINS)], [words] * CHAINS
+    rest, scale = [(ROOT_STRENGTH + root_discount * words) / (words + 1)] * CHAINS, [ROOT_STRENGTH + tables] * CHAINS
+    for turn in range(BURN_IN + KEPT):
+        gammas = [{h: rng.standard_gamma(STRENGTH / discount + v[1] + e.get(h, 0)) for h, v in spread.items()} for e in extra]
+        old = [x for x in (seated, weights) if x and x != first and turn <= BURN_IN]
+        seated = by_key(own.mapInArrow(sample_contexts(buckets, turn, weights, seated, spread, discount, gammas, rest, scale), MESSAGE), "seated")
+        extra, customers = [{} for _ in range(CHAINS)], [tables] * CHAINS
+        for r in _folder(seated, 1 << 40):  # spread contexts: a few numbers a bucket
+            ids, *more = unpack(r[2])
+            for k in range(CHAINS):
+                customers[k] += more[CHAINS + k]
+                for h, m in zip(ids.tolist(), more[k].tolist()):
+                    extra[k][h] = extra[k].get(h, 0) + m
+        gammas = np.array([rng.standard_gamma(ROOT_STRENGTH / root_discount + t) for t in root_tables])
+        weights = by_key(own.select("bucket").mapInArrow(sample_parent(turn, seated, first, words, root_discount, gammas), MESSAGE), "parent")
+        sums = [unpack(r[2]) for r in _folder(weights, 1 << 40)]
+        root_tables = [sum(t[k] for t, _ in sums) for k in range(CHAINS)]
+        left = [rng.standard_gamma(ROOT_STRENGTH + root_discount * t) for t in root_tables]  # for new tables, evenly over the words
+        rest, scale = [x / (words + 1) for x in left], [left[k] + sum(w[k] for _, w in sums) for k in range(CHAINS)]
+        if turn >= BURN_IN:
+            kept.append((seated, weights, extra, customers, root_tables))
+        for path in old:  # rounds that nothing reads again
+            fs, base = pyarrow.fs.FileSystem.from_uri(path)
+            fs.delete_dir(base)
+    answers = states.select("bucket", "state", "align").mapInArrow(answer(kept, spread, words, discount, root_discount), MESSAGE)
     texts = rows.mapInArrow(texts_of_chunks(buckets, hot), MESSAGE)
     result = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return _dealt(texts.unionByName(answers)).mapInArrow(scorer(tokens, words, customers, root_tables, discount, root_discount), result)
+    return _dealt(texts.unionByName(answers)).mapInArrow(scorer(tokens, words, discount), result)

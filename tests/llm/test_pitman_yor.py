@@ -106,3 +106,51 @@ def test_empty_tables(spark):
     assert P.score(frame(spark, [])).count() == 0
     alone = P.score(frame(spark, [(6, None, None, None, None)])).collect()
     assert [(r.n_tokens, r.held_out) for r in alone] == [(1, P.held_out(6))]
+
+
+def stirling(c, top, discount):
+    """log S(c, 1..top) by the recursion over customers."""
+    t = np.arange(1, top + 1)
+    row = np.where(t == 1, 0.0, -np.inf)
+    for n in range(1, c):
+        with np.errstate(invalid="ignore", divide="ignore"):
+            stay = np.where(t <= n, row + np.log(np.maximum(n - discount * t, 1e-300)), -np.inf)
+        row = np.logaddexp(stay, np.concatenate([[-np.inf], row[:-1]]))
+    return row
+
+
+@pytest.mark.parametrize("c,rate,mean", [(50, 1.0, 2.3), (1000, 1.0, 2.3), (1000, 10.0, 13.6), (5000, 5.0, 7.3), (5000, 900.0, None)])
+def test_one_sweep_draws_frequent_dishes_from_the_exact_law(c, rate, mean):
+    n, top, rng = 3000, min(c, 2000), np.random.default_rng(2)
+    got = P.seat(np.full(n, c), np.full(n, 0.1), np.zeros(n, np.int64), None, 0.8, P.STRENGTH, 1, rng, True, gamma=np.array([rate / 0.08]))
+    t = np.arange(1, top + 1)
+    law = stirling(c, top, 0.8) + t * math.log(rate)
+    law = np.exp(law - law.max())
+    law /= law.sum()
+    exact, sd = (law * t).sum(), math.sqrt((law * t * t).sum() - (law * t).sum() ** 2)
+    assert mean is None or abs(exact - mean) < 0.1
+    assert abs(got.mean() - exact) < 4 * sd / math.sqrt(n)
+    below = np.cumsum(law)[got.clip(1, top) - 1]
+    for q in (0.25, 0.5, 0.75):
+        k = int(np.searchsorted(np.cumsum(law), q))
+        assert abs((got <= k + 1).mean() - np.cumsum(law)[k]) < 0.04
+    assert below.min() > 0
+
+
+def test_production_sweeps_reach_the_law_of_a_frequent_dish_alone():
+    """1000 customers, by the first sample: p(t) ~ S(c, t) prior^t (s + d) ... (s + (t - 1) d)."""
+    n, c, d, prior, rng = 4000, 1000, 0.8, 0.2, np.random.default_rng(8)
+    got = P.seat(np.full(n, c), np.full(n, prior), np.arange(n), np.ones(n), d, P.STRENGTH, P.BURN_IN + 1, rng, False)
+    t = np.arange(1, c + 1)
+    law = stirling(c, c, d) + t * math.log(prior) + np.concatenate([[0], np.cumsum(np.log(P.STRENGTH + d * t[:-1]))])
+    law = np.exp(law - law.max())
+    law /= law.sum()
+    assert abs(got.mean() - (law * t).sum()) < 0.1
+    for k in (1, 2, 3):
+        assert abs((got == k).mean() - law[k - 1]) < 0.03
+
+
+def test_numbers_beyond_the_recursion_are_those_of_the_recursion():
+    for d in (0.1, 0.5, 0.8, 0.95):
+        t = np.unique(np.geomspace(1, 900, 60).astype(int))
+        assert np.abs(P.log_stirling(1000, t, d) - stirling(1000, 1000, d)[t - 1]).max() < 1e-6
