@@ -50,7 +50,7 @@ class Encoder:
     whole text gives, because the tokenizer's parts never look across ASCII white space."""
 
     #: Letters whose NFC form is themselves and whose lower case is one letter; then ASCII punctuation but the apostrophe.
-    PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-ÞßÀ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+    PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
     REMEMBERED = 700_000
 
     def __init__(self, path: str):

@@ -90,3 +90,10 @@ def test_dictionary_is_trained_and_checked(spark):
         f.write(b"other")
     with pytest.raises(ValueError, match="dictionary"):
         T.read_document(folder, name, 0)
+
+
+def test_every_latin_code_point_is_encoded_as_in_the_whole_text(tokenizer):
+    texts = [t for c in map(chr, range(0x80, 0x250)) for t in (c, f"a{c}b", f"x{c}", f"{c}y", f"a{c}.", f"{c}{c}")]
+    got = T.Encoder(FILE).encode([t.encode() for t in texts])
+    wrong = [t for t, ids in zip(texts, got) if np.frombuffer(ids, "<u2").tolist() != tokenizer.encode(t, add_special_tokens=False).ids]
+    assert wrong == []
