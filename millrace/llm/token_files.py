@@ -10,8 +10,9 @@ document is read by one seek through the offset index. Documents stand in ascend
 first; equal ids by a hash of their ids). Shards appear under a name of their own for every attempt; the manifest names
 those that count, so a repeated task leaves no half-written or double shard in the data set.
 
-The dictionary is trained on the id arrays of a bounded sample: at most ``SAMPLE_DOCS`` documents of at most
-``SAMPLE_CHARS`` characters, by hash of the id. Null texts are empty; every document ends with the end id.
+The dictionary is trained on the id arrays of a bounded sample: ``SAMPLE_DOCS`` documents of at most ``SAMPLE_CHARS``
+characters, by hash of the id; where these are too short, as many as give ``SAMPLE_BYTES`` of ids, by hash of id and
+text. It is left out only if all such documents together give less. Null texts are empty; every document ends with the end id.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ HEAD = "<8s32sIQQ"
 HEAD_BYTES = struct.calcsize(HEAD)
 END = 1
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 50_000, 32_768
+SAMPLE_BYTES = 16 * DICTIONARY_BYTES
 LEVEL = 1
 SHARD_BYTES = 64 << 20
 NO_ID = -(1 << 63)
@@ -134,11 +136,33 @@ def dictionary(docs: DataFrame, tokenizer: str, doc_id: str, text: str) -> bytes
     rows = short.join(F.broadcast(chosen), "i").groupBy("i").agg(F.min("t").alias("t")).orderBy("i").collect()
     encoder = Encoder(tokenizer)
     arrays = [a for a in encoder.encode([r.t.encode() for r in rows]) if len(a) >= 16]
-    if len(arrays) < 20 or sum(map(len, arrays)) < 16 * DICTIONARY_BYTES:
+    if len(arrays) < 20 or sum(map(len, arrays)) < SAMPLE_BYTES:
+        arrays = _larger_sample(short, encoder)
+    if len(arrays) < 20 or sum(map(len, arrays)) < SAMPLE_BYTES:
         return b""
     return zstandard.train_dictionary(DICTIONARY_BYTES, arrays, k=64, d=8).as_bytes()
 
 
+def _larger_sample(short: DataFrame, encoder: Encoder) -> list[bytes]:
+    """Id arrays of a share of the distinct documents (i, t) that gives ``SAMPLE_BYTES``, or of all. Very short ones are
+    put together, since the trainer wants samples of some length."""
+    filled = short.where(F.length(F.trim("t")) > 0)
+    chars = filled.agg(F.sum(F.length("t"))).first()[0] or 0
+    share = 4 * SAMPLE_BYTES / max(1, chars)  # an id of two bytes stands for four to five characters
+    while True:
+        some = filled.where(F.pmod(F.xxhash64("i", "t"), F.lit(1 << 40)) < int(min(1.0, share) * (1 << 40)))
+        rows = some.distinct().collect()
+        arrays, now = [], b""
+        for a in encoder.encode([r.t.encode() for r in sorted(rows, key=lambda r: (r.i is not None, r.i or 0, r.t))]):
+            now += a
+            if len(now) >= 16:
+                arrays.append(now)
+                now = b""
+        if share >= 1 or len(arrays) >= 20 and sum(map(len, arrays)) >= SAMPLE_BYTES:
+            return arrays
+        share *= 4
+
+
 def _held(content: bytes) -> dict:
     return {"dict_data": zstandard.ZstdCompressionDict(content)} if content else {}
 

@@ -97,3 +97,14 @@ def test_every_latin_code_point_is_encoded_as_in_the_whole_text(tokenizer):
     got = T.Encoder(FILE).encode([t.encode() for t in texts])
     wrong = [t for t, ids in zip(texts, got) if np.frombuffer(ids, "<u2").tolist() != tokenizer.encode(t, add_special_tokens=False).ids]
     assert wrong == []
+
+
+def test_a_table_of_short_documents_gets_a_dictionary(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"word{k}" for k in rng.integers(0, 300, 60)), None, None, None) for i in range(6000)]
+    tiny = [(i if i % 7 else None, f"ab{i} cd", None, None, None) for i in range(100_000)]
+    for table in (rows, tiny):
+        content = T.dictionary(frame(spark, table).withColumnsRenamed({"doc_id": "i", "text": "t"}), FILE, "i", "t")
+        assert len(content) > 1000
+    few = frame(spark, rows[:300]).withColumnsRenamed({"doc_id": "i", "text": "t"})
+    assert T.dictionary(few, FILE, "i", "t") == b""
