@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import queries_chat as chat
 from . import queries_decontaminate as decontaminate
 from . import queries_divergence as divergence
+from . import queries_languages as languages
 from . import queries_licenses as licenses
 from . import queries_pieces as pieces
 from . import queries_pitman_yor as pitman_yor
@@ -26,4 +27,5 @@ QUERIES = {
     "op9_license_scan": (licenses.op9_license_scan, None),
     "op10_token_files": (token_files.op10_token_files, None),
     "op11_source_divergence": (divergence.op11_source_divergence, divergence.OP11_SQL),
+    "op13_language_id": (languages.op13_language_id, None),
 }
