@@ -9,6 +9,7 @@ from . import queries_languages as languages
 from . import queries_licenses as licenses
 from . import queries_pieces as pieces
 from . import queries_pitman_yor as pitman_yor
+from . import queries_prefix_trie as prefix_trie
 from . import queries_quality as quality
 from . import queries_simhash as simhash
 from . import queries_token_files as token_files
@@ -27,5 +28,6 @@ QUERIES = {
     "op9_license_scan": (licenses.op9_license_scan, None),
     "op10_token_files": (token_files.op10_token_files, None),
     "op11_source_divergence": (divergence.op11_source_divergence, divergence.OP11_SQL),
+    "op12_prefix_trie": (prefix_trie.op12_prefix_trie, prefix_trie.OP12_SQL),
     "op13_language_id": (languages.op13_language_id, None),
 }
