@@ -18,12 +18,16 @@ def _on(spec: TableSpec, null_safe: bool) -> Column:
     return keys_match(spec.pk, spec.pk if null_safe else spec.nullable_keys)
 
 
-def unresolved(folded: DataFrame, spec: TableSpec) -> DataFrame:
+def is_unresolved(spec: TableSpec) -> Column:
     """Folded updates with at least one column no event made known."""
     cond = F.lit(False)
     for c in spec.resolvable:
         cond = cond | ~F.col(known_flag(c))
-    return folded.filter((F.col("op") == "U") & cond)
+    return (F.col("op") == "U") & cond
+
+
+def unresolved(folded: DataFrame, spec: TableSpec) -> DataFrame:
+    return folded.filter(is_unresolved(spec))
 
 
 def resolve(folded: DataFrame, base: DataFrame, spec: TableSpec, null_safe: bool = False) -> DataFrame:

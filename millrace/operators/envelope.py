@@ -87,7 +87,9 @@ def to_events(feed: DataFrame, spec: TableSpec, lsn: str = "lsn", seq: str = "po
     An update that changes the key becomes a delete of the old key followed by
     the update under the new key; both keep the event's position, which is safe
     because their keys differ. The new key has no row to take unchanged columns
-    from, so they come from the before-image as far as it holds them.
+    from, so they come from the before-image as far as it holds them. Where a
+    table's before-images are complete (``full_before_images``), that goes for
+    every update: none leaves a column open, and the fold has nothing to look up.
     """
     rows = dml_only(feed)
     has_before = "before" in feed.columns
@@ -127,6 +129,10 @@ def to_events(feed: DataFrame, spec: TableSpec, lsn: str = "lsn", seq: str = "po
             )
             moved = (F.col("op") == "UPDATE") & F.col("before").isNotNull() & moved
             parts = F.when(moved, F.array(old, _carried(feed, spec))).otherwise(F.array(main))
+        if spec.full_before_images:
+            whole = (F.col("op") == "UPDATE") & F.col("before").isNotNull()
+            kept = F.when(whole, F.array(_carried(feed, spec))).otherwise(F.array(main))
+            parts = kept if moved is None else F.when(moved, F.array(old, _carried(feed, spec))).otherwise(kept)
     return rows.select(*meta, F.inline(parts)).select(
         "_op", "_lsn", "_ts", "_seq", "_unchanged_cols", *[F.col(f"r.{c}").alias(c) for c in spec.columns]
     )

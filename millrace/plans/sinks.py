@@ -108,6 +108,8 @@ def k5(spark, d):
         commits.commit_tables(spark, root, n, _two_tables(spark, d, n))
     for name, df in _two_tables(spark, d, 2).items():
         commits.write_part(df, root, name, 2)
+    if commits.last_commit(spark, root) != 1:
+        raise AssertionError("what was not published must not be seen")
     schemas = {n: df.schema for n, df in _two_tables(spark, d, 0).items()}
     out = None
     for name, schema in schemas.items():
@@ -120,14 +122,16 @@ def k5(spark, d):
 @register("k6_idempotent_retry", """select o_orderkey % 3 as _commit, count(*) as n, count(distinct o_orderkey) as keys
 from orders group by 1""")
 def k6(spark, d):
-    """Commit 1 fails half way, runs again, and is then replayed once more."""
+    """Commit 1 fails half way, runs again, and is then replayed once more; so is it later under another number."""
     root = work_dir(spark, "k6")
     for n in (0, 1, 2):
         writes = _two_tables(spark, d, n)
         if n == 1:
             commits.write_part(writes["orders"].filter(F.col("o_orderkey") % 2 == 0), root, "orders", n)
-            commits.commit_tables(spark, root, n, writes)
-        commits.commit_tables(spark, root, n, writes)
+            commits.commit_tables(spark, root, n, writes, source=f"shop:{n}")
+        commits.commit_tables(spark, root, n, writes, source=f"shop:{n}")
+    if commits.commit_tables(spark, root, 3, _two_tables(spark, d, 1), source="shop:1") != 1:
+        raise AssertionError("a source that is there already must keep its commit")
     rows = commits.read_table(spark, root, "orders", _two_tables(spark, d, 0)["orders"].schema)
     return rows.groupBy("_commit").agg(F.count("*").alias("n"), F.countDistinct("o_orderkey").alias("keys"))
 

@@ -18,7 +18,7 @@ from millrace.sources.snapshot import snapshot_all
 from millrace.spec import TableSpec
 from millrace.streaming.gate import read_gated, run_gate
 from millrace.streaming.pipeline import (
-    OPEN_ROWS, feed_batch, materialize, poll_cycle, run_feed, run_materializer, snapshot_batch,
+    OPEN_ROWS, feed_batch, open_rows, materialize, poll_cycle, run_feed, run_materializer, snapshot_batch,
 )
 
 FINAL = f"with {REPLAY}\nselect user_id, slot, value, props from f where op <> 'D'"
@@ -234,7 +234,5 @@ def t8(spark, d):
     _feed_through(spark, d, root, n=1)
     at = f"{root}/events"
     flushed = event_sink.read_events(spark, at, LOG_SPEC).select(F.lit("flushed").alias("what"))
-    last = commits.last_commit(spark, at)
-    waiting = commits.read_table(spark, at, OPEN_ROWS, FEED_SCHEMA, upto=last, after=last - 1).select(
-        F.lit("open").alias("what"))
+    waiting = open_rows(spark, at).select(F.lit("open").alias("what"))
     return flushed.unionByName(waiting).groupBy("what").agg(F.count("*").alias("n"))

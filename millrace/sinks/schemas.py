@@ -20,11 +20,12 @@ SCHEMA = T.StructType([
 Versions = list[tuple[int, TableSpec]]
 
 
-def versions(spark: SparkSession, root: str, specs: Sequence[TableSpec], upto: int | None = None
-             ) -> dict[str, Versions]:
-    """Per table its versions with the log position each starts at. One row per
-    schema change ever made reaches the driver."""
-    rows = commits.read_table(spark, root, SCHEMAS, SCHEMA, upto).orderBy("from_lsn", COMMIT).collect()
+def versions(spark: SparkSession, root: str, specs: Sequence[TableSpec], upto: int | None = None,
+             log: commits.Log | None = None) -> dict[str, Versions]:
+    """Per table its versions with the log position each starts at; a version's number is its place in the list, and the
+    ``schema_id`` of commits. One row per schema change ever made reaches the driver."""
+    parts = (log or commits.load(spark, root)).parts(SCHEMAS, upto=upto)
+    rows = commits.read_parts(spark, root, SCHEMAS, SCHEMA, parts).orderBy("from_lsn", COMMIT).collect() if parts else []
     out = {s.name: [(-1, s)] for s in specs}
     for r in rows:
         if r["table"] in out:
@@ -33,12 +34,22 @@ def versions(spark: SparkSession, root: str, specs: Sequence[TableSpec], upto: i
     return out
 
 
-def latest(spark: SparkSession, root: str, specs: Sequence[TableSpec], upto: int | None = None) -> list[TableSpec]:
+def latest(spark: SparkSession, root: str, specs: Sequence[TableSpec], upto: int | None = None,
+           log: commits.Log | None = None) -> list[TableSpec]:
     """Each table at its current version."""
-    found = versions(spark, root, specs, upto)
+    found = versions(spark, root, specs, upto, log)
     return [found[s.name][-1][1] for s in specs]
 
 
+def at_commit(spark: SparkSession, root: str, spec: TableSpec, table: str, commit: int) -> TableSpec:
+    """The version a commit of a table was written under, picked by the ``schema_id`` of its log entry."""
+    log = commits.load(spark, root)
+    entry = next((r for r in log.entries(table, commit - 1, commit)), None)
+    if entry is None:
+        raise ValueError(f"commit {commit} has no rows of {table}")
+    return versions(spark, root, [spec], log=log)[spec.name][entry["schema_id"] or 0][1]
+
+
 def changes_in(feed: DataFrame) -> list[tuple[str, int, SchemaChange]]:
     """Schema changes of a batch in log order: a handful of control rows."""
     rows = feed.filter(F.col("op") == "SCHEMA_CHANGE").select("table", "lsn", "after").orderBy("lsn").collect()

@@ -11,7 +11,9 @@ from millrace.spec import TableSpec, qualified
 
 COLUMNS_QUERY = """
 select c.column_name, c.data_type, c.is_nullable = 'YES' as nullable, c.ordinal_position as ord,
-       k.ordinal_position as key_ord
+       k.ordinal_position as key_ord,
+       (select r.relreplident = 'f' from pg_catalog.pg_class r join pg_catalog.pg_namespace n on n.oid = r.relnamespace
+        where n.nspname = c.table_schema and r.relname = c.table_name) as full_before_images
 from information_schema.columns c
 left join information_schema.table_constraints t
   on t.table_schema = c.table_schema and t.table_name = c.table_name and t.constraint_type = 'PRIMARY KEY'
@@ -44,13 +46,15 @@ def columns_query(table: str) -> str:
 
 
 def discover(columns: DataFrame, table: str, pk: list[str] | None = None) -> TableSpec:
-    """Spec from the rows of ``COLUMNS_QUERY``: a handful of catalog rows per table."""
+    """Spec from the rows of ``COLUMNS_QUERY``: a handful of catalog rows per table. The source's replica identity says
+    whether updates come with their whole old row."""
     rows = columns.orderBy("ord").collect()
     if not rows:
         raise ValueError(f"table {table} not found")
     key = pk or [r["column_name"] for r in sorted(
         (r for r in rows if r["key_ord"] is not None), key=lambda r: r["key_ord"])]
-    return TableSpec.of(table, [(r["column_name"], r["data_type"], r["nullable"]) for r in rows], key)
+    complete = "full_before_images" in columns.columns and bool(rows[0]["full_before_images"])
+    return TableSpec.of(table, [(r["column_name"], r["data_type"], r["nullable"]) for r in rows], key, full_before_images=complete)
 
 
 def profile(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -10,6 +11,17 @@ from millrace.functions.casts import to_text
 from millrace.spec import TableSpec, qualified, source_type_of
 
 
+@dataclass(frozen=True)
+class Pinned:
+    """A source that can be read as of a version: its tables, its current version, and a table's rows at a version.
+
+    The version is whatever the source calls one: a commit of lake tables, an exported snapshot's id, a time."""
+
+    tables: Sequence[str]
+    current: Callable[[], int | str]
+    read: Callable[..., DataFrame]
+
+
 def snapshot_scan(df: DataFrame, spec: TableSpec, as_of: Column) -> DataFrame:
     """Every row as an insert event at position 0, outside any transaction."""
     zero = F.lit(0).cast("bigint")

@@ -184,7 +184,9 @@ class TableSpec:
 
     @property
     def resolvable(self) -> list[str]:
-        """Columns whose value an update may leave out."""
+        """Columns whose value an update may leave out. None where before-images are complete: they fill them."""
+        if self.full_before_images:
+            return []
         if self.maybe_unchanged is None:
             return self.value_columns
         return [c for c in self.value_columns if c in self.maybe_unchanged]
@@ -236,6 +238,11 @@ class TableSpec:
         """What evolution changes: columns with their ids, and the highest id ever used."""
         return json.dumps({"schema": self.schema.jsonValue(), "last_field_id": self.last_field_id})
 
+    @staticmethod
+    def schema_of(text: str) -> T.StructType:
+        """The columns of a stored version."""
+        return T.StructType.fromJson(json.loads(text)["schema"])
+
     def with_json(self, text: str) -> TableSpec:
         """This table at the stored version of its columns."""
         stored = json.loads(text)

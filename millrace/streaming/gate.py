@@ -22,34 +22,39 @@ GATED_SCHEMA = T.StructType([*FEED_SCHEMA.fields, *SEEN_SCHEMA.fields[1:]])
 
 def gate_batch(batch: DataFrame, batch_id: int, root: str, stream: str, within: str = "1 hour") -> None:
     """One micro-batch: rows leave with their COMMIT, or as expired (``commit_lsn`` null) once the newest
-    time seen is more than ``within`` ahead of them. Waiting rows and recent commits are tables of the same
-    commit, not operator state, so no row is ever dropped for being late: it meets its COMMIT first, whichever
-    of the two came earlier, and only then is its age looked at."""
+    time seen is more than ``within`` ahead of them. Waiting rows are a table of the same commit, not operator state, and
+    every commit ever seen is kept in one that is only appended to, so no row is dropped for being late and none is called
+    expired whose transaction has committed: it meets its COMMIT first, whichever of the two came earlier and however far
+    apart, and only then is its age looked at. Of the old commits a batch reads those in the range of transaction numbers
+    that its unmatched rows span."""
     spark = batch.sparkSession
     source = f"{stream}:{batch_id}"
-    if commits.published(spark, root, source):
+    log = commits.load(spark, root)
+    if log.find(source) is not None:
         return
-    entries = commits.heads(spark, root)
-
-    def kept(table: str, schema: T.StructType) -> DataFrame:
-        numbers = sorted(int(r["commit"]) for r in entries if r["table"] == table)
-        return commits.read_commits(spark, root, table, schema, numbers[-1:]).select(*schema.names)
-
     feed = batch.select(*FEED_SCHEMA.names)
-    known = commit_rows(feed).unionByName(kept(SEEN, SEEN_SCHEMA)).groupBy("xid").agg(
-        F.max("commit_lsn").alias("commit_lsn"), F.max("commit_ts").alias("commit_ts"))
-    rows = dml_only(feed).unionByName(kept(WAITING, FEED_SCHEMA))
-    clock = F.lit(feed.select("source_ts").unionByName(kept(WAITING, FEED_SCHEMA).select("source_ts")).unionByName(
-        kept(SEEN, SEEN_SCHEMA).select(F.col("commit_ts").alias("source_ts"))).agg(F.max("source_ts").cast("string")).first()[0])
-    edge = clock.cast("timestamp") - F.expr(f"interval {within}")
-    joined = rows.join(known, "xid", "left").select(*GATED_SCHEMA.names).persist(StorageLevel.MEMORY_AND_DISK)
+    waiting = commits.read_parts(spark, root, WAITING, FEED_SCHEMA, log.parts(WAITING)[-1:]).select(*FEED_SCHEMA.names)
+    fresh = commit_rows(feed).select(*SEEN_SCHEMA.names)
+    rows = dml_only(feed).unionByName(waiting)
+    joined = rows.join(fresh, "xid", "left").select(*GATED_SCHEMA.names).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        newest, lo, hi = feed.select("source_ts", F.lit(None).cast("long").alias("xid")).unionByName(
+            joined.filter(F.col("commit_lsn").isNull()).select("source_ts", "xid")).agg(
+            F.date_format(F.max("source_ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"), F.min("xid"), F.max("xid")).first()
+        clock = max((c for c in (newest, *[r["note"] for r in log.entries(SEEN)[-1:]]) if c is not None), default=None)
+        known = joined
+        if lo is not None and log.parts(SEEN):
+            old = commits.read_table(spark, root, SEEN, SEEN_SCHEMA, log=log).filter(F.col("xid").between(lo, hi))
+            old = old.groupBy("xid").agg(F.max("commit_lsn").alias("_lsn"), F.max("commit_ts").alias("_ts"))
+            known = joined.join(old, "xid", "left").withColumns({
+                "commit_lsn": F.coalesce("commit_lsn", "_lsn"), "commit_ts": F.coalesce("commit_ts", "_ts")}).select(*GATED_SCHEMA.names)
+        edge = F.lit(clock).cast("timestamp") - F.expr(f"interval {within}")
         out = F.col("commit_lsn").isNotNull() | F.coalesce(F.col("source_ts") < edge, F.lit(False))
-        commits.commit_tables(spark, root, commits.top_commit(entries) + 1, {
-            GATED: joined.filter(out),
-            WAITING: joined.filter(~out).select(*FEED_SCHEMA.names),
-            SEEN: known.filter(F.col("commit_ts") >= edge).select(*SEEN_SCHEMA.names),
-        }, source=source)
+        commits.commit_tables(spark, root, log.top + 1, {
+            GATED: known.filter(out),
+            WAITING: known.filter(~out).select(*FEED_SCHEMA.names),
+            SEEN: fresh,
+        }, kind={GATED: "append", WAITING: "list", SEEN: "append"}, source=source, details={SEEN: {"note": clock}}, log=log)
     finally:
         joined.unpersist()
 

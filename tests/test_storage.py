@@ -187,7 +187,7 @@ def test_files_keep_field_ids(spark):
 
     ev = work_dir(spark, "t")
     pipeline.feed_batch(feed(spark, [*one_tx(EVENTS, 1, 1), control("COMMIT", 1, 199)]), 0, [EVENTS], ev)
-    path = glob.glob(ev.removeprefix("file:") + "/counted_events/_commit=0/*/*.parquet")[0]
+    path = glob.glob(ev.removeprefix("file:") + "/counted_events/_commit=0/**/*.parquet", recursive=True)[0]
     ids = {f.name: int(f.metadata[b"PARQUET:field_id"]) for f in pq.read_schema(path)}
     assert ids == {"_op": 1, "_lsn": 2, "_ts": 3, "_seq": 4, "_unchanged_cols": 5, "id": 6, "value": 7}
 
