@@ -93,7 +93,8 @@ def partitions(spark: SparkSession, rows: int, each: int, most: int = 1 << 20) -
     return max(spark.sparkContext.defaultParallelism, min(most, -(-rows // each)))
 
 
-SALTS = 8
+#: Children of a node that go to one place, and links that a task of a round holds.
+BUSY, LINKS = 2000, 500_000
 
 
 class Forest:
@@ -144,15 +145,26 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """Connected components of ``edges(a, b)``: rows ``(node, component)`` with the least reachable node.
 
     Each round deals the links out by node, once by either end, and every task hangs its linked nodes on their least
-    one; paths shrink by half at least. The children of a node go to ``SALTS`` places, its parents to each of them, so a
-    node with very many children is not one task. Rounds are written to the shared folder. With ``rounds`` it stops
-    early: labels are then of connected nodes, though a component may still have several."""
+    one; paths shrink by half at least. A node with more than ``BUSY`` children is cut into as many places as its children
+    fill; its parents go to each of them. All other links are dealt once by either end, so the copies of a round are no
+    more than one in ``BUSY`` links. Rounds are written to the shared folder. With ``rounds`` it stops early: labels are
+    then of connected nodes, though a component may still have several."""
     edges = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b"), "edges")
-    done = 0
+    done, zero = 0, F.lit(0).cast("long")
     while rounds is None or done < rounds:
-        down = edges.select(F.col("b").alias("node"), F.col("a").alias("other"), F.pmod(F.xxhash64("a"), F.lit(SALTS)).alias("salt"))
-        up = edges.select(F.col("a").alias("node"), F.col("b").alias("other"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
-        dealt = up.unionByName(down).repartition("node", "salt").select("node", "other")
+        busy = edges.groupBy("b").agg(F.count("*").alias("n")).where(F.col("n") > BUSY)
+        busy = stored(busy.select(F.col("b").alias("node"), F.ceil(F.col("n") / BUSY).cast("long").alias("places")), "busy")
+        down = edges.select(F.col("b").alias("node"), F.col("a").alias("other"))
+        up = edges.select(F.col("a").alias("node"), F.col("b").alias("other"))
+        if busy.isEmpty():
+            dealt = up.unionByName(down).withColumn("salt", zero)
+        else:
+            salt = F.coalesce(F.pmod(F.xxhash64("other"), F.col("places")), zero)
+            down = down.join(busy, "node", "left").select("node", "other", salt.alias("salt"))
+            more = up.join(busy, "node").select("node", "other", F.explode(F.sequence(F.lit(1).cast("long"), F.col("places") - 1)).alias("salt"))
+            dealt = down.unionByName(up.withColumn("salt", zero)).unionByName(more)
+        places = max(int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-2 * edges.count() // LINKS))
+        dealt = dealt.repartition(places, "node", "salt").select("node", "other")
         edges = stored(dealt.mapInArrow(_contract, "a long, b long, open boolean"), "edges")
         done += 1
         if rounds is None and edges.where("open").isEmpty():

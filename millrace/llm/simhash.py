@@ -5,9 +5,9 @@ fingerprints (pivots). Two fingerprints differ in at least as many bits as any c
 pair whose largest coordinate difference passes ``max_bits`` is dropped before its bits are compared; the others are
 verified bit by bit.
 
-Pairs are met without comparing all rows: of ``blocks`` = 6 bit blocks at most 4 can differ in a pair within 4 bits, so
-every such pair agrees in some 2 of them (about 21 bits) and shares the bucket of those bits. This is exact. Rows with
-equal fingerprints are merged first; a large bucket is cut into cells, and each pair of cells is a task group of its
+Pairs are met without comparing all rows: of 6 bit blocks at most 4 can differ in a pair within 4 bits, so every such
+pair agrees in some 2 of them (about 21 bits) and shares the bucket of those bits. This is exact, as it is for the 7 or 8
+blocks that are taken when there are so many rows that buckets of more bits are needed. Rows with equal fingerprints are merged first; a large bucket is cut into cells, and each pair of cells is a task group of its
 own, so a large group of near copies is spread over many tasks. What leaves a task is a spanning forest of its links.
 """
 
@@ -197,7 +197,16 @@ def links(fps: DataFrame, max_bits: int = 4, blocks: int = 6) -> tuple[DataFrame
     return rows, _linked(right.unionByName(left), max_bits)
 
 
-def groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks: int = 6) -> DataFrame:
+def blocks_for(rows: int, max_bits: int) -> int:
+    """The fewest blocks, from ``max_bits`` + 2 on, whose buckets hold about a thousand of so many rows or fewer: the more
+    blocks agree, the more bits name a bucket. Any number of blocks over ``max_bits`` is exact."""
+    blocks = max_bits + 2
+    while blocks < 2 * max_bits and rows >> (64 * (blocks - max_bits) // blocks) > 1000:
+        blocks += 1
+    return blocks
+
+
+def groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks: int | None = None) -> DataFrame:
     """``docs(doc_id, text, ...)`` with the text replaced by ``fp``, ``grp`` (a fingerprint that names the group) and
     ``component_id`` (the group's least id).
 
@@ -206,14 +215,14 @@ def groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks: int = 6
     """
     base = stored(fingerprints(docs, "text", shingle, ("text",)), "fps")
     reps = stored(base.groupBy("fp").agg(F.min("doc_id").alias("least")), "reps")
-    rows, left = links(reps.select("fp"), max_bits, blocks)
+    rows, left = links(reps.select("fp"), max_bits, blocks or blocks_for(reps.count(), max_bits))
     found = components(left).withColumnsRenamed({"node": "grp", "component": "whole"})
     known = reps.join(rows, "fp").join(found, "grp", "left").select("fp", "least", F.coalesce("whole", "grp").alias("grp"))
     ids = known.groupBy("grp").agg(F.min("least").alias("component_id"))
     return base.join(known.join(ids, "grp").select("fp", "grp", "component_id"), "fp")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4, blocks: int = 6) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4, blocks: int | None = None) -> DataFrame:
     """``docs`` less all but one row of each group of near copies; columns unchanged. The row of the least id stays (of
     rows that repeat this id, the one with the least hash of its columns); in a group without ids, the least hash."""
     key, names = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]), docs.columns

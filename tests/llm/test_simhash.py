@@ -78,6 +78,26 @@ def test_pivot_search_finds_every_close_pair():
     assert all(np.abs(t[place[a]] - t[place[b]]).max() <= 4 for a, b in want)
 
 
+def test_any_number_of_blocks_is_exact(spark):
+    rows = near(4, 80)
+    want = Counter(slow_groups(rows)[0])
+    for blocks in (7, 8):
+        got = S.groups(frame(spark, rows).select("doc_id", "text"), blocks=blocks).collect()
+        assert Counter((r.doc_id, r.fp & (1 << 64) - 1, r.component_id) for r in got) == want
+    assert [S.blocks_for(n, 4) for n in (10, 10**9, 10**11, 10**13)] == [6, 6, 7, 8]
+
+
+def test_busy_nodes_are_cut_by_their_children(spark, monkeypatch):
+    """Stars far over the bound, chained, and nothing is copied that is not a busy node's parent."""
+    from millrace.llm import common
+
+    monkeypatch.setattr(common, "BUSY", 20)
+    monkeypatch.setattr(common, "LINKS", 50)
+    edges = [(hub, 1000 * hub + i) for hub in (1, 2, 3) for i in range(1, 150)] + [(1, 2), (2, 3), (7, 8)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {n: 7 if n in (7, 8) else 1 for e in edges for n in e}
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(200)]
     star = [(1000, 1000 + i) for i in range(1, 300)]
