@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -83,6 +85,15 @@ def fields(**types) -> StructType:
     return StructType([StructField(n, StructType.fromDDL(f"x {t}")[0].dataType) for n, t in types.items()])
 
 
+def kept(key, make: Callable):
+    """The value of ``make()`` that this Python worker keeps from task to task under ``key``: what it has remembered of
+    words need not be found again by the worker's next task. Only for values that bound their own size."""
+    store = sys.modules.setdefault("_millrace_llm_kept", types.ModuleType("_millrace_llm_kept")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 def raw(column: pa.Array) -> list[bytes]:
     """The texts of an Arrow column as UTF-8 bytes; null is empty."""
     return [b"" if x is None else x for x in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()]

@@ -22,6 +22,7 @@ import re
 import struct
 import uuid
 import zlib
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import raw, stored
+from .common import kept, raw, stored
 
 MAGIC = b"MTOK0001"
 HEAD = "<8s32sIQQ"
@@ -40,7 +41,7 @@ END = 1
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 50_000, 32_768
 SAMPLE_BYTES = 16 * DICTIONARY_BYTES
 LEVEL = 1
-SHARD_BYTES = 64 << 20
+SHARD_BYTES, SHARDS = 64 << 20, 4
 NO_ID = -(1 << 63)
 
 
@@ -190,30 +191,33 @@ def write(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "doc_id",
     hot = [(r.i, r.parts) for r in hot.collect()]  # at most ``places`` ids
     cuts = rows.agg(F.percentile_approx("i", [k / places for k in range(1, places)] or [0.5], 100 * places)).first()[0] or []
     alone = [b for i, _ in hot if i is not None for b in (i - 1, i)]  # an id that is spread has its place to itself
-    bounds = F.array(*[F.lit(b).cast("long") for b in sorted({*(cuts if places > 1 else []), *alone})]).cast("array<bigint>")
+    bounds = np.array(sorted({*(cuts if places > 1 else []), *alone}), np.int64)
     spread = rows.join(F.broadcast(spark.createDataFrame(hot, "k long, parts long")), F.col("i").eqNullSafe(F.col("k")), "left")
     spread = spread.select(
-        "i", "t", F.pmod(F.xxhash64("t"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"),
-        F.when(F.col("i").isNull(), -1).otherwise(F.size(F.filter(bounds, lambda b: b < F.col("i")))).cast("int").alias("place"),
-    )
+        "i", "t", F.pmod(F.xxhash64("t"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"))
 
     def encode(batches):
-        encoder, compress = Encoder(tokenizer), zstandard.ZstdCompressor(level=LEVEL, **_held(content)).compress
+        encoder, compress = kept(("encoder", tokenizer), partial(Encoder, tokenizer)), zstandard.ZstdCompressor(level=LEVEL, **_held(content)).compress
         end = np.array([END], encoder.kind).tobytes()
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
                 arrays = [a + end for a in encoder.encode(raw(part.column(1)))]
                 counts = [len(a) // encoder.width for a in arrays]
+                ids = part.column(0)
+                place = np.searchsorted(bounds, ids.fill_null(0).to_numpy(zero_copy_only=False)).astype(np.int32)
+                place[ids.is_null().to_numpy(zero_copy_only=False)] = -1
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(3), part.column(0), part.column(2), pa.array(counts, pa.int64()),
+                    [pa.array(place), ids, part.column(2), pa.array(counts, pa.int64()),
                      pa.array([zlib.crc32(a) for a in arrays], pa.int64()), pa.array([compress(a) for a in arrays], pa.binary())],
                     names=["place", "i", "part", "n", "h", "frame"],
                 )
 
     width = Encoder(tokenizer).width
     frames = spread.mapInArrow(encode, "place int, i long, part int, n long, h long, frame binary")
-    dealt = frames.repartition(min(places, 4 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))), "place", "part")
+    some = 4 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # A task sorts a few shards, however many there are.
+    dealt = frames.repartition(max(min(places, some), -(-places // SHARDS)), "place", "part")
     dealt = dealt.sortWithinPartitions("place", "part", "i", "n", "h")
 
     def shards(batches):
