@@ -202,12 +202,13 @@ def read_state(spark: SparkSession, root: str, spec: TableSpec, as_of: int | Non
     return mor.scan(data, deletes, spec.pk, nullable=spec.nullable_keys).select(*spec.columns)
 
 
-def compact(spark: SparkSession, root: str, spec: TableSpec, rows_per_file: int | None = None) -> int:
+def compact(spark: SparkSession, root: str, spec: TableSpec, rows_per_file: int | None = None,
+            slots: int | None = None) -> int:
     """Rewrite a table's live rows as a new base, dealt by key hash; readers need no deletes before it."""
     log = commits.load(spark, root)
     data, deletes = read_parts(spark, root, spec, log=log)
     live = mor.scan(data, deletes, spec.pk, nullable=spec.nullable_keys).select(*spec.columns)
-    slots = slots_for(data.count())  # a bound of the live rows, from the files' footers
+    slots = slots or slots_for(data.count())  # a bound of the live rows, from the files' footers
     rows = with_slot(with_partitions(stamp_ids(live, spec), partition_fields(spec.partition, spec)), spec, slots)
     return commits.commit_tables(
         spark, root, None, {data_name(spec): rows}, kind="base", partition_by=partition_map(spec, slots),
