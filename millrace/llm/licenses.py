@@ -4,7 +4,9 @@ are chained into covered template spans.
 The automaton holds all templates' tokens. A file is streamed through it word by word: at each word it knows the longest
 run ending there that occurs in some template. Maximal runs of at least ``MIN_MATCH`` words are anchors; per template,
 anchors in the same order in file and template, with gaps of at most ``MAX_GAP`` words, are chained for the most
-matched words. A chain that covers at least ``MIN_COVER`` of its template is a span and labels the file.
+matched words. A chain that covers enough of its template (``MIN_COVER`` of a body, all of a one-line notice) is a span
+and labels the file. A licence may have several templates: its body, its disclaimer, the heading of its whole text, the
+notices that files carry.
 
 Short marker phrases label a file wherever their words stand consecutively. Null, empty and wordless texts have no words,
 no places and score 0; repeated rows are scanned alike. Columns named like an output are replaced.
@@ -12,7 +14,7 @@ no places and score 0; repeated rows are scanned alike. Columns named like an ou
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -28,8 +30,17 @@ MIN_MATCH, MAX_GAP, MIN_COVER = 4, 12, 0.6
 #: Marker phrases and their labels.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: Public licence texts or their notices, by label.
-TEMPLATES = {
+@dataclass(frozen=True)
+class Template:
+    """Text that stands for a licence. A file holds it if a chain covers ``cover`` of its words; a licence may have several."""
+
+    label: str
+    text: str
+    cover: float = MIN_COVER
+
+
+#: Public licence texts, or the notices that files carry in their place, by label.
+BODIES = {
     "mit": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
@@ -73,6 +84,53 @@ TEMPLATES = {
     "cc-by-nc": "This work is licensed under a Creative Commons Attribution NonCommercial 4.0 International License.",
 }
 
+#: Further parts of public licence texts: disclaimers, headings that open a whole text, other licences.
+PARTS = [
+    ("mit", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+     "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT "
+     "HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+     "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("bsd", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+     "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."),
+    ("isc", "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL "
+     "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."),
+    ("apache-2", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, "
+     "AND DISTRIBUTION"),
+    ("gpl-3", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("gpl-2", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("lgpl-3", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("agpl-3", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("mpl-2", "Mozilla Public License Version 2.0"),
+    ("boost-1", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+     "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and "
+     "transmit the Software"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+     "for any damages arising from the use of this software."),
+]
+
+#: One-line notices. All their words must be there, since a version number may tell two licences apart.
+NOTICES = [
+    ("gpl-3", "This work is licensed under the GNU General Public License, version 3"),
+    ("gpl-2", "This work is licensed under the GNU General Public License, version 2"),
+    ("gpl-3", "licensed under the GNU General Public License v3"),
+    ("gpl-2", "licensed under the GNU General Public License v2"),
+    ("lgpl-3", "licensed under the GNU Lesser General Public License, version 3"),
+    ("agpl-3", "licensed under the GNU Affero General Public License, version 3"),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+     "following conditions are met"),
+    ("mpl-2", "licensed under the Mozilla Public License, version 2.0"),
+    ("mit", "licensed under the MIT License"),
+    ("isc", "licensed under the ISC License"),
+    ("unlicense", "released into the public domain"),
+]
+HEADING = 16  # texts of so few words count whole only
+
+TEMPLATES = (
+    *(Template(label, text) for label, text in BODIES.items()),
+    *(Template(label, text, 1.0 if len(text.split()) <= HEADING else MIN_COVER) for label, text in PARTS),
+    *(Template(label, text, 1.0) for label, text in NOTICES),
+)
+
 #: A-Z to a-z; every other ASCII byte that is no digit or letter to a space. Bytes from 0x80 on belong to words.
 _FOLD = bytes(b if b >= 0x80 or chr(b).isalnum() and b < 0x80 else 0x20 for b in range(256)).lower()
 
@@ -159,16 +217,16 @@ class Span:
 class Scanner:
     """Scans one file's words at a time."""
 
-    def __init__(self, templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES,
-                 min_match: int = MIN_MATCH, max_gap: int = MAX_GAP, min_cover: float = MIN_COVER):
-        self.labels = list(templates)
-        texts = [words(t.encode()) for t in templates.values()]
+    def __init__(self, templates: Sequence[Template] = TEMPLATES, phrases: dict[str, str] = PHRASES,
+                 min_match: int = MIN_MATCH, max_gap: int = MAX_GAP):
+        self.templates = list(templates)
+        texts = [words(t.text.encode()) for t in self.templates]
         marks = [words(p.encode()) for p in phrases]
         self.ids = {w: i for i, w in enumerate(sorted({w for t in texts + marks for w in t}))}
         self.sequences = [[self.ids[w] for w in t] for t in texts]
         self.phrases = [([self.ids[w] for w in m], label) for m, label in zip(marks, phrases.values())]
         self.automaton = Automaton(self.sequences)
-        self.min_match, self.max_gap, self.min_cover = min_match, max_gap, min_cover
+        self.min_match, self.max_gap = min_match, max_gap
 
     def scan(self, text: bytes) -> tuple[int, list[tuple[int, str]], list[Span]]:
         """Number of words, the places of phrases (start, label), the spans."""
@@ -223,14 +281,16 @@ class Scanner:
             if used.isdisjoint(chain):
                 used.update(chain)
                 cover = min(1.0, best[i] / total)
-                if cover >= self.min_cover:
-                    yield Span(self.labels[n], anchors[chain[-1]][0], anchors[i][0] + anchors[i][2], best[i], cover)
+                if cover >= self.templates[n].cover:
+                    yield Span(self.templates[n].label, anchors[chain[-1]][0], anchors[i][0] + anchors[i][2], best[i], cover)
 
 
-def scan(files: DataFrame, text: str = "text", hide: tuple[str, ...] = ()) -> DataFrame:
+def scan(files: DataFrame, text: str = "text", hide: tuple[str, ...] = (), templates: Sequence[Template] = TEMPLATES,
+         phrases: dict[str, str] = PHRASES) -> DataFrame:
     """Add n_words, n_base (places of phrases), first_word and last_word (their least and largest start, else null),
     base_labels and labels (distinct, sorted, comma-joined), score (1 with a phrase, else the best span's cover, else 0)
-    and spans (array of label, start, end, matched words, cover) to every row."""
+    and spans (array of label, start, end, matched words, cover) to every row. ``templates`` and ``phrases`` may be one's
+    own."""
     at = files.columns.index(text)
     span = "array<struct<label:string,start:bigint,end:bigint,matched:bigint,cover:double>>"
     added = fields(
@@ -238,7 +298,7 @@ def scan(files: DataFrame, text: str = "text", hide: tuple[str, ...] = ()) -> Da
     )
 
     def run(batches):
-        scanner = Scanner()
+        scanner = Scanner(templates, phrases)
         for b in batches:
             rows = []
             for t in raw(b.column(at)):
