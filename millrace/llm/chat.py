@@ -7,7 +7,8 @@ Costs: ``MERGE``, ``RELABEL``, ``INSERT``; a role that is none of the three must
 the one with fewer relabels, then fewer insertions is taken, then the one whose last differing state comes first
 (border states of segments are settled before those inside).
 
-A conversation is cut into segments of ``SEGMENT`` turn numbers. The cost of a segment for each entry and exit state is a
+All rows are sorted by conversation and turn in ranges of about equal size, and a conversation is cut into segments of at
+most ``SEGMENT`` rows, whatever their turn numbers. The cost of a segment for each entry and exit state is a
 small matrix; matrices of long conversations are chained (minimum over sums) to find the states at their borders, and
 every segment is then repaired on its own. So a conversation with very many turns is spread over tasks.
 
@@ -23,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import partitions, stored
 
 MERGE, RELABEL, INSERT = 1, 3, 2
-SEGMENT = 1024
+SEGMENT, RANGE = 1024, 100_000
 ROLES = ("system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
 NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
@@ -155,9 +156,9 @@ def _borders(batches):
         states.reverse()
         n = len(segs)
         return pa.RecordBatch.from_arrays(
-            [pa.array([now] * n, pa.int64()), pa.array(segs, pa.int64()), pa.array(states[:-1], pa.int32()),
+            [pa.array([now] * n, pa.int64()), pa.array(segs, pa.int64()), pa.array(range(n), pa.int64()), pa.array(states[:-1], pa.int32()),
              pa.array([None if k == n - 1 else s for k, s in enumerate(states[1:])], pa.int32())],
-            names=["c", "seg", "entry", "leave"],
+            names=["c", "seg", "place", "entry", "leave"],
         )
 
     for b in batches:
@@ -190,7 +191,7 @@ def _rendered(batches):
         roles = [_role_number(r[2]) for r in rows]
         entry, leave, last = rows[0][5] or START, rows[0][6], rows[0][6] is None
         _, path = repair(roles, entry, leave)
-        piece = 0
+        piece, seg = 0, rows[0][7]
         for r, role, (p, q, cost, inserted, merged) in zip(rows, roles, path):
             if inserted:
                 out.append([conv, seg, piece, None, ROLES[inserted - 1], "insert", INSERT, opened(p, inserted)])
@@ -213,24 +214,31 @@ def _rendered(batches):
 
 
 def format_chat(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
-    """Pieces of the repaired conversations: conv_id, segment, piece (order in the segment), turn (null if inserted),
-    role, action, cost, rendered. A conversation's text is its pieces' ``rendered`` in order of segment and piece, its
-    repair cost the sum of ``cost``."""
+    """Pieces of the repaired conversations: conv_id, segment (from 0), piece (order in the segment), turn (null if
+    inserted), role, action, cost, rendered. A conversation's text is its pieces' ``rendered`` in order of segment and
+    piece, its repair cost the sum of ``cost``. Columns of ``turns`` beside conv_id, turn, role and text are not read,
+    whatever their names."""
     rows = turns.select(
         F.col("conv_id").cast("long").alias("c"), F.col("turn").cast("long").alias("turn"),
         F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"),
-    ).withColumns({"seg": F.coalesce(F.floor(F.col("turn") / segment), F.lit(-(1 << 62))).cast("long"), "h": F.xxhash64("role", "text")})
-    per = rows.groupBy("c", "seg").agg(F.count("*").alias("n"))
+    ).withColumn("h", F.xxhash64("role", "text"))
+    # Ranges of rows, not of turn numbers: rows that are equal in all of these may be cut apart by the last one.
+    keys = [F.col("c").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("h"), F.col("mix")]
+    dealt = rows.withColumn("mix", F.rand(3)).repartitionByRange(partitions(turns.sparkSession, rows.count(), RANGE), *keys)
+    placed = dealt.sortWithinPartitions(*keys).drop("mix", "h").withColumn("row", F.monotonically_increasing_id())
+    placed = stored(placed.withColumn("seg", F.floor(F.col("row") / segment).cast("long")), "turns")
+    per = placed.groupBy("c", "seg").agg(F.count("*").alias("n"))
     long = per.groupBy("c").agg(F.count("*").alias("segs")).where("segs > 1").select(F.col("c").alias("lc"))
-    some = rows.join(long, F.col("c").eqNullSafe(F.col("lc")), "left_semi")
-    sorted_by = ["c", "seg", "turn", "h"]
-    dealt = some.select("c", "seg", "role", "turn", "h").repartition("c", "seg").sortWithinPartitions(*sorted_by)
+    some = placed.join(long, F.col("c").eqNullSafe(F.col("lc")), "left_semi")
+    dealt = some.select("c", "seg", "role", "row").repartition("c", "seg").sortWithinPartitions("c", "seg", "row")
     matrices = dealt.mapInArrow(_matrices, "c long, seg long, m array<long>")
     ordered = matrices.repartition("c").sortWithinPartitions("c", "seg")
-    borders = stored(ordered.mapInArrow(_borders, "c long, seg long, entry int, leave int"), "borders")
-    borders = borders.select(F.col("c").alias("bc"), F.col("seg").alias("bs"), "entry", "leave")
-    joined = rows.join(borders, F.col("c").eqNullSafe(F.col("bc")) & (F.col("seg") == F.col("bs")), "left")
-    final = joined.select("c", "seg", "role", "turn", "text", "entry", "leave", "h").repartition("c", "seg").sortWithinPartitions(*sorted_by)
+    borders = stored(ordered.mapInArrow(_borders, "c long, seg long, place long, entry int, leave int"), "borders")
+    borders = borders.select(F.col("c").alias("bc"), F.col("seg").alias("bs"), "place", "entry", "leave")
+    joined = placed.join(borders, F.col("c").eqNullSafe(F.col("bc")) & (F.col("seg") == F.col("bs")), "left")
+    place = F.coalesce("place", F.lit(0).cast("long")).alias("place")
+    final = joined.select("c", "seg", "role", "turn", "text", "entry", "leave", place, "row")
+    final = final.repartition("c", "seg").sortWithinPartitions("c", "seg", "row")
     return final.mapInArrow(
         _rendered, "conv_id long, segment long, piece long, turn long, role string, action string, cost long, rendered string"
     )
