@@ -76,6 +76,16 @@ def open_rows(spark: SparkSession, root: str) -> DataFrame:
     return rows.join(listed.select("xid").distinct(), "xid", "left_semi").select(*FEED_SCHEMA.names)
 
 
+def expire_events(spark: SparkSession, root: str, specs: Sequence[TableSpec], before: int) -> int:
+    """Remove events of commits before ``before``, which every materializer must have taken in, and the rows of
+    transactions that are open no longer. Rows that still wait stay, however old, as do schema versions."""
+    log = commits.load(spark, root)
+    listed = open_xids(spark, root, log)
+    waiting = set() if listed is None else {r["at"] for r in listed.select("at").distinct().collect()}
+    names = [s.events_name for s in registry.current(specs, log)]
+    return commits.expire(spark, root, before, names, {OPEN_ROWS: waiting})
+
+
 def feed_batch(batch: DataFrame, batch_id: int | str, specs: Sequence[TableSpec], root: str,
                pipeline_id: str | None = None, stream: str = "feed", note: str | None = None) -> int | None:
     """One micro-batch: committed rows become events, open ones wait for their COMMIT.
