@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 SALTS = 32
+#: A key with more than one in so many rows is busy.
+BUSY_SHARE = 1024
 RANGES = 1 << 14
 SEGMENTS = 32
 
@@ -15,15 +17,25 @@ def spread_join(rows: DataFrame, keys: DataFrame, on: Sequence[str], how: str =
                 by: Column | None = None, salts: int = SALTS) -> DataFrame:
     """Join rows to a set of keys that has few rows per key (tables, relations).
 
-    One key may hold a third of all rows, so rows of a key are dealt over
-    ``salts`` groups and each key is listed once per group. Should Spark
-    broadcast the key set under its size limit, the salt costs nothing.
-    ``by`` decides the group; by default all columns of the row.
+    One key may hold a third of all rows, so rows of a busy key are dealt over
+    ``salts`` groups and the key is listed once per group. Busy is what holds
+    more than one in ``BUSY_SHARE`` rows, so there are fewer than ``BUSY_SHARE``
+    such keys; all others are listed once, however many they are. Rows without
+    a key match nothing and are dealt as well. ``by`` decides the group; by
+    default all columns of the row.
     """
     seed = by if by is not None else F.xxhash64(*rows.columns)
-    dealt = rows.withColumn("_salt", F.pmod(seed, F.lit(salts)).cast("int"))
-    listed = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(listed, [*on, "_salt"], how).drop("_salt")
+    missing = F.lit(False)
+    for c in on:
+        missing = missing | F.col(c).isNull()
+    counts = rows.filter(~missing).groupBy(*on).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    busy = F.broadcast(counts.filter(F.col("_n") * BUSY_SHARE > total).select(*on, F.lit(True).alias("_busy")))
+    dealt = rows.withColumn("_seed", seed).join(busy, list(on), "left").withColumn(
+        "_salt", F.when(F.col("_busy") | missing, F.pmod("_seed", F.lit(salts))).otherwise(0).cast("int")).drop("_seed", "_busy")
+    places = F.when(F.col("_busy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    listed = keys.join(busy, list(on), "left").withColumn("_salt", F.explode(places)).drop("_busy")
+    return dealt.join(listed if how != "left_semi" else listed.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 def with_range(rows: DataFrame, source: DataFrame, column: str, name: str = "_range", ranges: int = RANGES) -> DataFrame:

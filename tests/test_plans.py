@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import transactions as tx
 from millrace.operators.apply import apply, resolve_parts
+from millrace.operators.envelope import known_relations
 from millrace.operators.fold import fold
 from millrace.operators.spread import spread_join
 from millrace.operators.verify import diff_sample
@@ -163,3 +164,22 @@ def test_busy_table_is_dealt_over_tasks(spark, conf):
     out = spread_join(rows, keys, ["table"], by=F.col("id"))
     sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
     assert sum(sizes) == 10_000 and max(sizes) < 5_000
+
+
+def generated(node):
+    """Rows that the plan's explodes made."""
+    own = node.metrics().apply("numOutputRows").value() if node.nodeName() == "Generate" else 0
+    return own + sum(generated(node.children().apply(i)) for i in range(node.children().size()))
+
+
+def test_only_busy_relations_are_listed_more_than_once(spark, conf):
+    """A set of relations may be as large as the feed: it is neither multiplied nor broadcast."""
+    conf(spark__sql__adaptive__enabled="false")
+    n = 20_000
+    feed = spark.range(0, 2 * n, 1, 4).select(F.when(F.col("id") < n, 1).otherwise(F.col("id") - n).cast("bigint").alias("relation_id"), "id")
+    out = known_relations(feed.unionByName(spark.sql("select cast(null as bigint) as relation_id, -1L as id")), spark.range(0, n, 2, 4).toDF("relation_id"))
+    got = known_relations(feed, spark.range(1, n, 2, 4).toDF("relation_id")).count()
+    assert got == n + n // 2 and sorted(r["id"] - n for r in out.collect()) == list(range(0, n, 2))
+    assert generated(out._jdf.queryExecution().executedPlan()) <= n // 2 + 32
+    semi = [line for line in plan(out).splitlines() if "Join" in line and "LeftSemi" in line]
+    assert semi and all("SortMergeJoin" in line for line in semi)
