@@ -165,13 +165,14 @@ def delta_writes(ready: DataFrame, spec: TableSpec, folded: DataFrame | None = N
     }
     if slots is None:
         return out
+    # One file is gathered by a shuffle: a coalesced task would run, and hold the memory of, every task before it.
     if slots < 2:  # at most SLOT_ROWS rows: one file, unless partitions deal them anyway
-        out = {name: df if fields and name == data_name(spec) else df.coalesce(1) for name, df in out.items()}
+        out = {name: df if fields and name == data_name(spec) else df.repartition(1) for name, df in out.items()}
     else:
         out = {name: with_slot(df, spec, slots) for name, df in out.items()}
     hashes = changed.select(key_hash(spec).alias(KEY_HASH))
     files = -(-slots * SLOT_ROWS // INDEX_KEYS)
-    hashes = hashes.coalesce(1) if files < 2 else hashes.repartitionByRange(files, KEY_HASH)
+    hashes = hashes.repartition(1) if files < 2 else hashes.repartitionByRange(files, KEY_HASH)
     return out | {index_name(spec): hashes.sortWithinPartitions(KEY_HASH)}
 
 

@@ -156,7 +156,7 @@ def _feed_batch(batch, batch_id, specs, root, pipeline_id, stream, note):
         if added is not None or late is not None:
             kept = None if listed is None else listed.join(done, "xid", "left_anti")
             both = [df.select("xid", "at") for df in (kept, added) if df is not None]
-            xids = (both[0].unionByName(both[1]) if len(both) > 1 else both[0]).coalesce(1)
+            xids = (both[0].unionByName(both[1]) if len(both) > 1 else both[0]).hint("rebalance")  # files by size
             writes[OPEN_XIDS], kinds[OPEN_XIDS] = xids, "list"
             details[OPEN_XIDS] = {"note": "0" if added is None and xids.isEmpty() else None}
         # An empty batch is recorded too, so that it is known when it comes again.

@@ -437,3 +437,35 @@ def test_files_have_the_size_asked_for(spark):
         assert len(per) >= 4 and all(300_000 <= x <= 500_000 for x in sorted(per)[1:])
     entry = commits.load(spark, root).entries("x")[-1]
     assert entry["rows"] == 60_000 and entry["files"] >= 4 and entry["bytes"] > 10**6
+
+
+# -- what one task takes ------------------------------------------------------
+
+def by_task(n, tasks):
+    """Rows that name the task which computed them."""
+    from pyspark import TaskContext
+
+    task = F.udf(lambda _: TaskContext.get().taskAttemptId() % 1_000_000, "int").asNondeterministic()
+    return lambda spark: spark.range(0, n, 1, tasks).withColumn("v", task("id"))
+
+
+def test_a_small_commit_is_one_file_of_many_tasks(spark):
+    rows = by_task(400, 4)(spark)
+    writes = tables.delta_writes(as_folded(rows, OTHER), OTHER, slots=1)
+    assert all(df.rdd.getNumPartitions() == 1 for df in writes.values())
+    data = writes[tables.data_name(OTHER)].collect()
+    assert len(data) == 400 and len({r.v for r in data}) == 4
+
+
+def test_the_list_of_open_transactions_comes_from_many_tasks(spark, monkeypatch):
+    seen = {}
+
+    def commit(spark, root, number, writes, **kw):
+        seen.update(writes)
+        return number
+
+    monkeypatch.setattr(commits, "commit_tables", commit)
+    waiting = [one(T, x, x * 10, id=x, v=x) for x in range(1, 20)]
+    pipeline.feed_batch(feed(spark, waiting), 0, [T], work_dir(spark, "t"))
+    assert sorted(r.xid for r in seen[pipeline.OPEN_XIDS].collect()) == list(range(1, 20))
+    assert "Coalesce 1" not in seen[pipeline.OPEN_XIDS]._jdf.queryExecution().toString()
