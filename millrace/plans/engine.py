@@ -152,14 +152,17 @@ def s2_pinned(spark, d):
     return out
 
 
+K7_FILE = 32 << 20
+
+
 @register("k7_measured_sizes", "select n as _commit, (select count(*) from lineitem) as \"rows\", 0::bigint as files_off from (values (0::bigint), (1)) t(n)")
 def k7_measured(spark, d):
-    """Two commits in files of a sixth of the table's size each, as measured from a sample and then from the first
-    commit: files whose bytes are more than a quarter off, the smallest one aside."""
+    """Two commits in files of a sixth of the table's size each, ``K7_FILE`` at most as a file is one task's, measured
+    from a sample and then from the first commit: files whose bytes are more than a quarter off, the smallest one aside."""
     root = work_dir(spark, "k7m")
-    li = table(spark, d, "lineitem").repartition(8).persist()
+    li = table(spark, d, "lineitem").hint("rebalance").persist()
     commits.commit_tables(spark, root, None, {"probe": li})
-    target = commits.load(spark, root).entries("probe")[0]["bytes"] // 6
+    target = min(K7_FILE, commits.load(spark, root).entries("probe")[0]["bytes"] // 6)
     for _ in range(2):
         commits.commit_tables(spark, root, None, {"lineitem": li}, target_bytes={"lineitem": target})
     li.unpersist()

@@ -469,3 +469,23 @@ def test_the_list_of_open_transactions_comes_from_many_tasks(spark, monkeypatch)
     pipeline.feed_batch(feed(spark, waiting), 0, [T], work_dir(spark, "t"))
     assert sorted(r.xid for r in seen[pipeline.OPEN_XIDS].collect()) == list(range(1, 20))
     assert "Coalesce 1" not in seen[pipeline.OPEN_XIDS]._jdf.queryExecution().toString()
+
+
+def test_a_probe_is_no_reading_of_all_rows_by_one_task(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(commits.files, "remove", lambda _, path: kept.append(path))
+    commits.sized(by_task(400, 4)(spark), work_dir(spark, "t"), "x", commits.Log([]), 1 << 20)
+    probe = spark.read.parquet(kept[0]).collect()
+    assert len(probe) == 400 and len({r.v for r in probe}) == 4
+
+
+def test_measured_files_are_no_larger_than_a_task_should_read(spark, sf, monkeypatch):
+    """A sixth of a large table is too much for one file."""
+    from millrace.plans import engine
+
+    monkeypatch.setattr(engine, "K7_FILE", 10_000)
+    written = []
+    real = commits.commit_tables
+    monkeypatch.setattr(commits, "commit_tables", lambda *a, **kw: written.append(kw.get("target_bytes")) or real(*a, **kw))
+    got = engine.k7_measured(spark, sf).collect()
+    assert written[1:] == [{"lineitem": 10_000}] * 2 and len({r.rows for r in got}) == 1
