@@ -6,6 +6,10 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
+#: Files that a writer leaves beside the data.
+MARKS = ("_SUCCESS", "_metadata", "_common_metadata")
+
+
 def _at(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
@@ -23,13 +27,15 @@ def names(spark: SparkSession, path: str) -> list[str]:
 
 
 def size(spark: SparkSession, path: str) -> tuple[int, int]:
-    """Data files under a folder and their bytes."""
+    """Data files under a folder and their bytes, summed up by the file system: one call, however many files. Only the
+    folder itself holds marks that are no data."""
     fs, where = _at(spark, path)
-    found, files, total = fs.listFiles(where, True), 0, 0
-    while found.hasNext():
-        one = found.next()
-        if one.getPath().getName()[0] not in "._":
-            files, total = files + 1, total + one.getLen()
+    whole = fs.getContentSummary(where)
+    files, total = whole.getFileCount(), whole.getLength()
+    for name in MARKS:
+        mark = spark._jvm.org.apache.hadoop.fs.Path(where, name)
+        if fs.exists(mark):
+            files, total = files - 1, total - fs.getFileStatus(mark).getLen()
     return files, total
 
 

@@ -489,3 +489,16 @@ def test_measured_files_are_no_larger_than_a_task_should_read(spark, sf, monkeyp
     monkeypatch.setattr(commits, "commit_tables", lambda *a, **kw: written.append(kw.get("target_bytes")) or real(*a, **kw))
     got = engine.k7_measured(spark, sf).collect()
     assert written[1:] == [{"lineitem": 10_000}] * 2 and len({r.rows for r in got}) == 1
+
+
+def test_files_are_summed_up_in_one_call(spark, monkeypatch):
+    at = work_dir(spark, "t")
+    spark.range(200).withColumn("_p", F.col("id") % 100).coalesce(1).write.partitionBy("_p").parquet(at)
+    client = spark._jvm._gateway_client
+    calls, real = [], client.send_command
+    monkeypatch.setattr(client, "send_command", lambda *a, **kw: calls.append(1) or real(*a, **kw))
+    n, total = files.size(spark, at)
+    made = len(calls)
+    monkeypatch.undo()
+    assert n == 100 and total == spark.read.parquet(at).select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size")).first()[0]
+    assert made < 150
