@@ -16,7 +16,8 @@ taken as spread evenly when the contexts are drawn. A dish with one customer has
 
 Work is dealt by context: a task turns its texts into chunks of ``CHUNK`` tokens and asks each bucket (a range of word
 hashes) about its distinct words and the distinct pairs whose context lies there; words that a sample shows to be very
-frequent contexts are spread over buckets by the word that follows. Buckets merge the chunks' counts, exchange numbers
+frequent contexts are spread over buckets by the word that follows. The chunk's texts wait as numbers in a file of the
+shared folder; its name, new for every attempt, goes with questions and answers. Buckets merge the chunks' counts, exchange numbers
 of tables with the buckets of the dishes, and answer every chunk in the order it asked. All of it is packed arrays, so
 that a pair costs a few bytes. Words are told apart by 64-bit hashes, the words after one context by the hash's first 40
 bits. What is shuffled grows with the distinct pairs of the corpus.
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 import math
 import pickle
+import uuid
 import zlib
 
 import numpy as np
@@ -42,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw, scratch, stored
+from .common import kept, raw, scratch, stored
 
 CHUNK = 1_500_000
 BUCKET_BYTES = 10 << 20
@@ -82,21 +84,26 @@ def held_out(doc_id, folds: int = 5, fold: int = 1) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % folds == fold
 
 
+class Numbers(dict):
+    """Numbers of words, in the order they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class Chunk:
     """Texts as token numbers in hash order, with distinct pairs."""
 
     def __init__(self):
-        self.vocab: dict[bytes, int] = {END: 0, BEGIN: 1}
+        self.vocab = Numbers({END: 0, BEGIN: 1})
         self.parts, self.docs, self.size = [], [], 0
 
     def add(self, key, held: bool, text: bytes) -> None:
         words = text.lower().split()
-        vocab = self.vocab
-        for w in set(words).difference(vocab):
-            vocab[w] = len(vocab)
         seq = np.empty(len(words) + 2, np.int32)
         seq[0], seq[-1] = 1, 0
-        seq[1:-1] = np.fromiter(map(vocab.__getitem__, words), np.int32, len(words))
+        seq[1:-1] = np.fromiter(map(self.vocab.__getitem__, words), np.int32, len(words))
         self.parts.append(seq)
         self.docs.append((key, held))
         self.size += len(words) + 1
@@ -109,6 +116,7 @@ class Chunk:
         rank[order] = np.arange(len(order))
         lengths = np.array([len(p) - 1 for p in self.parts])
         key = np.concatenate([rank[p[:-1]] * len(order) + rank[p[1:]] for p in self.parts])
+        self.vocab, self.parts = Numbers(), []
         pairs, number = np.unique(key, return_inverse=True)
         train = np.array([not h for _, h in self.docs])
         return hashed[order], pairs, number, lengths, train
@@ -118,11 +126,13 @@ def chunks(batches, size: int = CHUNK):
     """(chunk number, Chunk) of a task's rows (id, text)."""
     base, n, now = TaskContext.get().partitionId() << 24, 0, Chunk()
     for b in batches:
-        for key, text in zip(b.column(0).to_pylist(), raw(b.column(1))):
-            now.add(key, held_out(key), text)
-            if now.size >= size:
-                yield base + n, now
-                n, now = n + 1, Chunk()
+        for lo in range(0, b.num_rows, 256):
+            part = b.slice(lo, 256)
+            for key, text in zip(part.column(0).to_pylist(), raw(part.column(1))):
+                now.add(key, held_out(key), text)
+                if now.size >= size:
+                    yield base + n, now
+                    n, now = n + 1, Chunk()
     if now.docs:
         yield base + n, now
 
@@ -135,11 +145,13 @@ def _blobs(rows):
     return _rows(rows, ["dst", "src", "blob"], [pa.int64(), pa.int64(), pa.binary()])
 
 
-def asker(buckets: int, hot: np.ndarray):
-    """Rows (dst: bucket, src: chunk, blob): what the chunk asks each bucket, with its training counts."""
+def asker(buckets: int, hot: np.ndarray, folder: str):
+    """Rows (dst: bucket, src: chunk, blob): what the chunk asks each bucket, with its training counts and the name of
+    the file in ``folder`` that holds its texts."""
 
     def run(batches):
         for number, chunk in chunks(batches):
+            name = uuid.uuid4().hex
             words, pairs, at, lengths, train = chunk.close()
             flag = np.repeat(train, lengths)
             count = np.bincount(at[flag], minlength=len(pairs)).astype(np.uint32)
@@ -161,22 +173,55 @@ def asker(buckets: int, hot: np.ndarray):
                 lo, hi = cuts[b], cuts[b + 1]
                 p, h = plain[plain_cuts[b] : plain_cuts[b + 1]], hot_at[hot_cuts[b] : hot_cuts[b + 1]]
                 each = np.bincount(context[p] - lo, minlength=hi - lo).astype(np.uint32)
-                out.append((b, number, pack(words[lo:hi], seen[lo:hi], each, five(follow[p]), count[p], place[context[h]].astype(np.uint32), five(follow[h]), count[h])))
+                out.append((b, number, pack(words[lo:hi], seen[lo:hi], each, five(follow[p]), count[p], place[context[h]].astype(np.uint32), five(follow[h]), count[h], name)))
+            begin = int(np.searchsorted(words, np.uint64(xxhash.xxh64_intdigest(BEGIN))))
+            _keep(f"{folder}/{name}", chunk, train, lengths, follower[at], begin, cuts, np.where(is_hot, place, -1).astype(np.int32) if is_hot.any() else None)
             yield _blobs(out)
 
     return run
 
 
+def _keep(path: str, chunk: Chunk, train, lengths, token, begin: int, cuts, place) -> None:
+    """Write a chunk's rows as word numbers (``token``, in hash order), and what else gives its questions' order: the
+    number of the start, the first word of each bucket, and the places of spread words (-1: plain) or None."""
+    frequent = np.argsort(-np.bincount(token, minlength=cuts[-1]), kind="stable")  # small numbers compress well
+    rank = np.empty(len(frequent), np.uint32)
+    rank[frequent] = np.arange(len(frequent))
+    code = rank[token]
+    split = [(code >> np.uint32(8 * k) & np.uint32(255)).astype(np.uint8) for k in range(3 if len(frequent) < 1 << 24 else 4)]
+    blob = pack([k for k, _ in chunk.docs], train, lengths.astype(np.uint32), split, frequent.astype(np.uint32), begin, cuts.astype(np.uint32), place)
+    fs, base = pyarrow.fs.FileSystem.from_uri(path)
+    with fs.open_output_stream(base) as f:
+        f.write(blob)
+
+
+def coded(values: np.ndarray) -> tuple:
+    """Few different numbers in a byte each: the 255 most frequent, the bytes, and the others as they are."""
+    different, code, n = np.unique(values, return_inverse=True, return_counts=True)
+    often = np.argsort(-n, kind="stable")
+    rank = np.empty(len(often), np.int64)
+    rank[often] = np.arange(len(often))
+    code = np.minimum(rank[code], 255).astype(np.uint8)
+    return different[often[:255]], code, values
+
+
+def uncoded(common: np.ndarray, code: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    out = np.append(common, common[:1])[np.minimum(code, len(common))] if len(common) else np.zeros(0, rest.dtype)
+    out[code == 255] = rest
+    return out
+
+
 def _grouped(batches):
     """Rows (dst, src, blob), sorted, as (dst, [(src, unpacked)])."""
     now, held = None, []
     for b in batches:
-        for dst, src, blob in zip(*(b.column(k).to_pylist() for k in range(3))):
-            if held and dst != now:
-                yield now, held
-                held = []
-            now = dst
-            held.append((src, unpack(blob)))
+        for lo in range(0, b.num_rows, 16):
+            for dst, src, blob in zip(*(b.column(k).slice(lo, 16).to_pylist() for k in range(3))):
+                if held and dst != now:
+                    yield now, held
+                    held = []
+                now = dst
+                held.append((src, unpack(blob)))
     if held:
         yield now, held
 
@@ -193,7 +238,7 @@ def gather(batches):
             raise ValueError("too many words in a bucket; lower BUCKET_BYTES")
         seen = np.bincount(word_at, np.concatenate([a[1] for _, a in asked]), len(words)).astype(np.int64)
         keys, counts, sizes, lo = [], [], [], 0
-        for _, (w, _, each, follow, count, hot, hot_follow, hot_count) in asked:
+        for _, (w, _, each, follow, count, hot, hot_follow, hot_count, _) in asked:
             context = np.repeat(word_at[lo : lo + len(w)], each)
             lo += len(w)
             keys += [context.astype(np.uint64) << np.uint64(FOLLOW) | unfive(follow), (hot.astype(np.uint64) + np.uint64(HOT_BASE)) << np.uint64(FOLLOW) | unfive(hot_follow)]
@@ -202,9 +247,9 @@ def gather(batches):
         pairs, pair_at = np.unique(np.concatenate(keys), return_inverse=True)
         count = np.bincount(pair_at, np.concatenate(counts), len(pairs)).astype(np.int64)
         align, wlo, plo = [], 0, 0
-        for (src, _), (nw, npairs, nhot) in zip(asked, sizes):
+        for (src, a), (nw, npairs, nhot) in zip(asked, sizes):
             own, hot = pair_at[plo : plo + npairs], pair_at[plo + npairs : plo + npairs + nhot]
-            align.append((src, _gaps(word_at[wlo : wlo + nw]), np.diff(own, prepend=0).astype(np.int32), np.diff(hot, prepend=0).astype(np.int32)))
+            align.append((src, _gaps(word_at[wlo : wlo + nw]), np.diff(own, prepend=0).astype(np.int32), np.diff(hot, prepend=0).astype(np.int32), a[8]))
             wlo, plo = wlo + nw, plo + npairs + nhot
         context, follow = (pairs >> np.uint64(FOLLOW)).astype(np.uint32), pairs & np.uint64((1 << FOLLOW) - 1)
         known = count > 0
@@ -307,15 +352,15 @@ def log_stirling(c: int, t: np.ndarray, discount: float) -> np.ndarray:
     return math.lgamma(c + 1) - log_factorial(t) - t * math.log(discount) + log_coefficient(c, t, discount)
 
 
-def log_coefficient(c: int, t: np.ndarray, discount: float, nodes: int = 48) -> np.ndarray:
+def log_coefficient(c, t: np.ndarray, discount: float, nodes: int = 48) -> np.ndarray:
     """Log of the coefficient of z^c in (1 - (1 - z)^d)^t, by the trapezoid rule on a parabola through the saddle point
-    around the cut of s = 1 - z."""
+    around the cut of s = 1 - z. ``c``: one number, or one for each ``t``."""
     t, d = np.asarray(t, np.float64), discount
-    lo, hi = np.full(len(t), np.log(2 / (c + 1))), np.full(len(t), -1e-12)
+    c = np.broadcast_to(np.asarray(c, np.float64), t.shape)
+    lo, hi = np.log(2 / (c + 1)), np.full(len(t), -1e-12)
     for _ in range(26):
         mid = (lo + hi) / 2
-        s = np.exp(mid)
-        above = (c + 1) * -np.expm1(d * mid) * s ** (1 - d) > t * d * -np.expm1(mid)
+        above = (c + 1) * -np.expm1(d * mid) * np.exp((1 - d) * mid) > t * d * -np.expm1(mid)
         hi, lo = np.where(above, mid, hi), np.where(above, lo, mid)
     s = np.exp(lo)
     e, f = -np.expm1(d * lo), -np.expm1(lo)  # 1 - s^d, 1 - s
@@ -323,12 +368,13 @@ def log_coefficient(c: int, t: np.ndarray, discount: float, nodes: int = 48) ->
     bend = t * d * ((1 - d) * s ** (d - 2) * e - d * s ** (2 * d - 2)) / e**2 + (c + 1) / f**2
     reach = 1.2 * np.sqrt(45 / np.maximum(slope * s + 2 * bend * s * s, 1e-9))
     y = (np.arange(nodes) + 0.5) / nodes * reach[:, None]
-    w = s[:, None] * (1 - 1j * y) ** 2
+    root = 1 - 1j * y
+    w = s[:, None] * root**2
     top = t * np.log(e) - (c + 1) * np.log(f)
-    value = np.exp(t[:, None] * np.log(1 - w**d) - (c + 1) * np.log(1 - w) - top[:, None]) * (1 - 1j * y)
+    value = np.exp(t[:, None] * np.log(1 - w**d) - (c + 1)[:, None] * np.log(1 - w) - top[:, None]) * root
     area = 2 * s / np.pi * value.real.sum(1) * reach / nodes
     found = top + np.log(np.maximum(area, 1e-300))
-    near = math.log((1 - d) * c * (c - 1) / 2) + log_factorial(t) + t * math.log(d) - math.lgamma(c + 1)
+    near = np.log((1 - d) * c * (c - 1) / 2) + log_factorial(t) + t * math.log(d) - log_factorial(c)
     return np.where(t == c, c * math.log(d), np.where(t == c - 1, near, found))
 
 
@@ -338,40 +384,77 @@ def _span(t: np.ndarray, logs: np.ndarray, least: float, most: float) -> tuple[i
     return int(np.argmax(low > low.max() - 45)), len(t) - 1 - int(np.argmax((high > high.max() - 45)[::-1]))
 
 
+def weighty(customers: np.ndarray, least: np.ndarray, most: np.ndarray, discount: float) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of tables between which all weight lies, for log rates from ``least`` to ``most``. The mean and variance
+    follow from the saddle point of exp(rate / d (1 - (1 - z)^d)); the law is one of a sum of independent events, so
+    Bernstein's bound holds."""
+    c, d, out = customers.astype(np.float64), discount, []
+    for logs in (least, most):
+        aim = logs - np.log(c + 1)
+        lo, hi = np.minimum(aim / (1 - d), -1.0) - 50, np.full(len(c), -1e-15)
+        for _ in range(60):  # log s, for which rate s^(d - 1) = (c + 1) / (1 - s)
+            mid = (lo + hi) / 2
+            above = (1 - d) * mid - np.log(-np.expm1(mid)) > aim
+            hi, lo = np.where(above, mid, hi), np.where(above, lo, mid)
+        s, f = np.exp(lo), -np.expm1(lo)
+        mean = np.minimum(np.exp(logs) / d * -np.expm1(d * lo), c)
+        out.append((mean, np.maximum(mean - (c + 1) * s / (s + (1 - d) * f), 0)))
+    (low, v), (high, w) = out
+    low, high = low - 18 - np.sqrt(324 + 110 * v), high + 18 + np.sqrt(324 + 110 * w)
+    return np.clip(np.floor(low), 1, c).astype(np.int64), np.clip(np.ceil(high), 1, c).astype(np.int64)
+
+
+def _pick(t: np.ndarray, found: np.ndarray, logs: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """For each log rate the number of tables at which the law's running sum passes the share ``u``."""
+    mass = t[:, None] * logs
+    mass += found[:, None]
+    mass -= mass.max(0)
+    np.cumsum(np.exp(mass, out=mass), axis=0, out=mass)
+    return t[np.minimum((mass < u * mass[-1]).sum(0), len(t) - 1)]
+
+
 def draw_tables(customers: np.ndarray, rate: np.ndarray, discount: float, rng) -> np.ndarray:
     """Independent draws of t = 1..c with probability proportional to S(c, t) rate^t, whatever the count c. Up to ``TABLE``
     customers the numbers come from the recursion, beyond from the integral, whose smooth part is
     interpolated where more than ``POINTS`` t have weight."""
-    out = np.ones(len(customers), np.int64)
     logs = np.log(np.maximum(rate, 1e-300))
     order = np.lexsort((logs, customers))
-    rows = stirling_rows(int(min(TABLE, customers.max(initial=1))), discount)
-    starts = np.flatnonzero(np.diff(customers[order], prepend=-1))
-    for lo, end in zip(starts.tolist(), [*starts[1:].tolist(), len(order)]):
-        c = int(customers[order[lo]])
+    counts, logs, u = customers[order], logs[order], rng.random(len(order))
+    drawn = np.ones(len(order), np.int64)
+    known = kept("stirling", dict)  # of this worker
+    if discount not in known:
+        if len(known) > 1:
+            known.clear()
+        known[discount] = stirling_rows(TABLE, discount)
+    starts = np.flatnonzero(np.diff(counts, prepend=-1)).tolist()
+    large = []  # rows of one count and about one rate
+    for lo, end in zip(starts, [*starts[1:], len(order)]):
+        c = int(counts[lo])
         while lo < end:
             if c <= TABLE:
                 hi, t = min(end, lo + max(64, CELLS // c)), np.arange(1, c + 1)
-                least, most, found = logs[order[lo]], logs[order[hi - 1]], rows[c]
-                first, last = _span(t, found, least, most)
-                t, found = t[first : last + 1], found[first : last + 1]
+                found = known[discount][c]
+                first, last = _span(t, found, logs[lo], logs[hi - 1])
+                drawn[lo:hi] = _pick(t[first : last + 1], found[first : last + 1], logs[lo:hi], u[lo:hi])
             else:
-                least = logs[order[lo]]
-                hi = lo + int(np.searchsorted(logs[order[lo:end]], least + 0.5, "right"))
-                hi = min(hi, lo + 64)
-                most, low, high = logs[order[hi - 1]], 1, c
-                for points in (24, 24, POINTS):
-                    t = np.unique(np.rint(np.geomspace(low, high, points)).astype(np.int64)) if high - low >= points else np.arange(low, high + 1)
-                    smooth = log_coefficient(c, t, discount)
-                    first, last = _span(t, smooth - log_factorial(t) - t * math.log(discount), least, most)
-                    low, high = int(t[max(0, first - 1)]), int(t[min(len(t) - 1, last + 1)])
-                every = np.arange(low, high + 1)
-                t, found = every, np.interp(every, t, smooth) - log_factorial(every) - every * math.log(discount)
-            at = order[lo:hi]
-            mass = found + t * logs[at][:, None]
-            mass = np.cumsum(np.exp(mass - mass.max(1, keepdims=True)), axis=1)
-            out[at] = t[np.minimum((mass < rng.random(len(at))[:, None] * mass[:, -1:]).sum(1), len(t) - 1)]
+                hi = lo + int(np.searchsorted(logs[lo : min(end, lo + 64)], logs[lo] + 0.5, "right"))
+                large.append((lo, hi))
             lo = hi
+    for k in range(0, len(large), 64):
+        some = np.array(large[k : k + 64])
+        low, high = weighty(counts[some[:, 0]], logs[some[:, 0]], logs[some[:, 1] - 1], discount)
+        points = [
+            np.unique(np.rint(np.geomspace(a, b, POINTS)).astype(np.int64)) if b - a >= POINTS else np.arange(a, b + 1)
+            for a, b in zip(low.tolist(), high.tolist())
+        ]
+        stops = np.cumsum([len(t) for t in points])
+        smooth = log_coefficient(np.repeat(counts[some[:, 0]], [len(t) for t in points]), np.concatenate(points), discount)
+        for (lo, hi), a, b, t, found in zip(some.tolist(), low.tolist(), high.tolist(), points, np.split(smooth, stops[:-1])):
+            every = np.arange(a, b + 1)
+            found = np.interp(every, t, found) - log_factorial(every) - every * math.log(discount)
+            drawn[lo:hi] = _pick(every, found, logs[lo:hi], u[lo:hi])
+    out = np.empty(len(order), np.int64)
+    out[order] = drawn
     return out
 
 
@@ -516,82 +599,70 @@ def answer(kept_turns: list[tuple], hot: dict[int, tuple], words: int, discount:
                         root.append(p.astype(np.float32))
                 kept = np.where(s.count > 0, s.count - discount, 0.0).astype(np.float32)
                 kept[s.open] = s.count[s.open] - discount * (1 + total / len(tables))
+                common, code, kept = coded(kept)
                 columns = [s.seen, customers[:n].astype(np.uint32), *[t[:n] for t in tables], *root]
                 whole = [customers[n:].astype(np.uint32), *[t[n:] for t in tables]]
                 out = []
-                for src, word_gaps, pair_gaps, hot_gaps in unpack(align)[0]:
-                    w = np.cumsum(word_gaps.astype(np.int64))
-                    out.append((src, bucket, pack([c[w] for c in columns], kept[np.cumsum(pair_gaps, dtype=np.int64)], kept[np.cumsum(hot_gaps, dtype=np.int64)], whole)))
+                for src, word_gaps, pair_gaps, hot_gaps, name in unpack(align)[0]:
+                    w, own, spread = np.cumsum(word_gaps.astype(np.int64)), np.cumsum(pair_gaps, dtype=np.int64), np.cumsum(hot_gaps, dtype=np.int64)
+                    values = [(common, code[at], kept[at[code[at] == 255]]) for at in (own, spread)]
+                    out.append((src, bucket, pack([c[w] for c in columns], *values, whole, name)))
                 yield _blobs(out)
 
     return run
 
 
-def texts_of_chunks(buckets: int, hot: np.ndarray):
-    """Rows (dst: chunk, src: -1, blob): each chunk's rows as token and pair numbers, in the order of its questions."""
-
-    def run(batches):
-        for number, chunk in chunks(batches):
-            words, pairs, at, lengths, train = chunk.close()
-            context, follower = np.divmod(pairs, len(words))
-            place = np.searchsorted(hot, words)
-            is_hot = (place < len(hot)) & (hot[np.minimum(place, len(hot) - 1)] == words) if len(hot) else np.zeros(len(words), bool)
-            spread = np.flatnonzero(is_hot[context])
-            bucket = bucket_of(words[follower[spread]] >> np.uint64(64 - FOLLOW), buckets, FOLLOW)
-            order = spread[np.argsort(bucket, kind="stable")]
-            # pairs are numbered as they were asked: the plain ones by context, then the spread ones by bucket
-            asked = np.concatenate([np.flatnonzero(~is_hot[context]), order])
-            new = np.empty(len(pairs), np.int64)
-            new[asked] = np.arange(len(asked))
-            frequent = np.argsort(-np.bincount(at, minlength=len(pairs)), kind="stable")  # small numbers compress well
-            rank = np.empty(len(pairs), np.int64)
-            rank[frequent] = np.arange(len(pairs))
-            tokens = rank[at].astype(np.uint32)
-            split = [tokens >> np.uint32(8 * k) & np.uint32(255) for k in range(3 if len(pairs) < 1 << 24 else 4)]
-            keys = [k for k, _ in chunk.docs]
-            blob = pack(keys, train, lengths.astype(np.uint32), [x.astype(np.uint8) for x in split], new[frequent].astype(np.uint32),
-                        np.diff(context[asked], prepend=0).astype(np.int32), follower[asked].astype(np.uint32),
-                        np.where(is_hot, place, -1)[context[asked]].astype(np.int32) if len(hot) else None)
-            yield _blobs([(number, -1, blob)])
-
-    return run
-
-
-def scorer(tokens: int, words: int, discount: float):
-    """Scores of each chunk's texts, given its texts and the buckets' answers."""
+def scorer(tokens: int, words: int, discount: float, folder: str):
+    """Scores of each chunk's texts, given the buckets' answers and the texts' file in ``folder``."""
 
     def run(batches):
+        fs, base_path = pyarrow.fs.FileSystem.from_uri(folder)
         for _, got in _grouped(batches):
-            if got[0][0] != -1:
-                raise ValueError("answers without texts: the input changed between two passes")
-            keys, train, lengths, split, numbers, context_gaps, follower, spread = got[0][1]
+            answers = [a for _, a in got]
+            got.clear()
+            if len({a[4] for a in answers}) != 1:
+                raise ValueError("the input changed between two passes")
+            with fs.open_input_stream(f"{base_path}/{answers[0][4]}") as f:
+                keys, train, lengths, split, frequent, begin, cuts, place = unpack(f.read())
             lengths = lengths.astype(np.int64)
-            answers = [a for _, a in got[1:]]
-            columns = [np.concatenate([a[0][k] for a in answers]).astype(np.float64) for k in range(2 + 2 * SAMPLES)]
-            kept = np.concatenate([a[1] for a in answers] + [a[2] for a in answers]).astype(np.float64)
-            seen, guests, here = columns[0], columns[1], columns[2 : 2 + SAMPLES]
-            root = columns[2 + SAMPLES :]
-            context = np.cumsum(context_gaps.astype(np.int64))
-            if len(kept) != len(context):
+            starts = np.cumsum(lengths) - lengths
+            token = np.zeros(len(split[0]), np.uint32)
+            for k, x in enumerate(split):
+                token |= x.astype(np.uint32) << np.uint32(8 * k)
+            token = frequent[token].astype(np.int64)
+            before = np.concatenate([[begin], token[:-1]])
+            before[starts] = begin
+            pairs, pair = np.unique(before * len(frequent) + token, return_inverse=True)
+            del before
+            context, follower = np.divmod(pairs, len(frequent))
+            # pairs were asked about by context, then the spread ones by the bucket of the word that follows
+            spread = place[context] if place is not None else np.full(len(pairs), -1, np.int32)
+            far = np.flatnonzero(spread >= 0)
+            far = far[np.argsort(np.searchsorted(cuts, follower[far], "right"), kind="stable")]
+            asked = np.concatenate([np.flatnonzero(spread < 0), far])
+
+            def column(k):
+                return np.concatenate([a[0][k] for a in answers]).astype(np.float64)
+
+            values = np.concatenate([uncoded(*a[1]) for a in answers] + [uncoded(*a[2]) for a in answers])
+            seen, guests = column(0), column(1)
+            if len(values) != len(asked) or len(seen) != len(frequent):
                 raise ValueError("the input changed between two passes")
+            kept = np.empty(len(asked))
+            kept[asked] = values
             whole = [np.maximum.reduce([a[3][k] for a in answers]).astype(np.float64) for k in range(1 + SAMPLES)]
             total = guests[context]
-            if spread is not None:
+            if len(far):
                 total = np.where(spread >= 0, whole[0][np.maximum(spread, 0)] if len(whole[0]) else 0, total)
             p = np.zeros(len(context))
             for k in range(SAMPLES):
-                t = here[k][context]
-                if spread is not None:
+                t = column(2 + k)[context]
+                if len(far):
                     t = np.where(spread >= 0, whole[1 + k][np.maximum(spread, 0)] if len(whole[1 + k]) else 0, t)
-                p += np.where(total > 0, (STRENGTH + discount * t) / (STRENGTH + total), 1.0) * root[k][follower] / SAMPLES
+                p += np.where(total > 0, (STRENGTH + discount * t) / (STRENGTH + total), 1.0) * column(2 + SAMPLES + k)[follower] / SAMPLES
+            answers.clear()
             p += np.where(total > 0, kept / (STRENGTH + total), 0.0)
             log, base = np.log10(p), np.log10((seen + 0.5) / (tokens + 0.5 * (words + 1)))
-            at = np.zeros(len(split[0]), np.int64)
-            for k, x in enumerate(split):
-                at |= x.astype(np.int64) << 8 * k
-            pair = numbers[at]
-            starts = np.cumsum(lengths) - lengths
-            token = follower[pair]
             out = [
                 pa.array(keys, pa.int64()), pa.array(~train), pa.array(lengths, pa.int64()),
                 pa.array(np.add.reduceat((seen > 0)[token].astype(np.int64), starts)), pa.array(np.full(len(keys), tokens), pa.int64()),
@@ -633,7 +704,10 @@ def score(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     buckets = int(min(32768, max(4, -(-size // bucket_bytes))))
     hot = frequent_words(rows, buckets)
     state = "bucket long, state binary, align binary, stats array<bigint>, hot binary"
-    states = stored(_dealt(rows.mapInArrow(asker(buckets, hot), MESSAGE)).mapInArrow(gather, state), "states")
+    texts = scratch(spark, "texts")
+    fs, base = pyarrow.fs.FileSystem.from_uri(texts)
+    fs.create_dir(base, recursive=True)
+    states = stored(_dealt(rows.mapInArrow(asker(buckets, hot, texts), MESSAGE)).mapInArrow(gather, state), "states")
     sums = [0] * 5
     spread: dict[int, list] = {}
     for r in states.select("stats", "hot").collect():  # a few numbers a bucket
@@ -672,7 +746,7 @@ def score(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
         for path in old:  # rounds that nothing reads again
             fs, base = pyarrow.fs.FileSystem.from_uri(path)
             fs.delete_dir(base)
+    fs.delete_dir(pyarrow.fs.FileSystem.from_uri(first)[1])
     answers = states.select("bucket", "state", "align").mapInArrow(answer(kept, spread, words, discount, root_discount), MESSAGE)
-    texts = rows.mapInArrow(texts_of_chunks(buckets, hot), MESSAGE)
     result = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return _dealt(texts.unionByName(answers)).mapInArrow(scorer(tokens, words, discount), result)
+    return _dealt(answers).mapInArrow(scorer(tokens, words, discount, texts), result)

@@ -154,3 +154,49 @@ def test_numbers_beyond_the_recursion_are_those_of_the_recursion():
     for d in (0.1, 0.5, 0.8, 0.95):
         t = np.unique(np.geomspace(1, 900, 60).astype(int))
         assert np.abs(P.log_stirling(1000, t, d) - stirling(1000, 1000, d)[t - 1]).max() < 1e-6
+
+
+def test_all_frequent_dishes_are_evaluated_together(monkeypatch):
+    """300 dishes of different counts beyond the recursion: a few calls for all, not several for each."""
+    calls, whole = [], P.log_coefficient
+    monkeypatch.setattr(P, "log_coefficient", lambda *a: calls.append(1) or whole(*a))
+    c = np.arange(2000, 2300)
+    got = P.draw_tables(c, np.full(300, 2.0), 0.75, np.random.default_rng(4))
+    assert len(calls) <= 10
+    assert (got >= 1).all() and 1 < got.mean() < 6
+
+
+@pytest.mark.parametrize("d", [0.1, 0.5, 0.8])
+def test_numbers_of_several_counts_at_once_are_those_of_each(d):
+    t = np.arange(1, 60)
+    both = P.log_coefficient(np.repeat([1200, 5000], 59), np.tile(t, 2), d)
+    assert np.allclose(both, np.concatenate([P.log_coefficient(c, t, d) for c in (1200, 5000)]))
+
+
+@pytest.mark.parametrize("d", [0.1, 0.5, 0.8, 0.95])
+def test_weight_outside_the_evaluated_numbers_is_nil(d):
+    c, t = 1500, np.arange(1, 1501)
+    for rate in (1e-9, 0.05, 2.0, 300.0, 1e5):
+        law = P.log_coefficient(c, t, d) - P.log_factorial(t) - t * math.log(d) + t * math.log(rate)
+        low, high = (int(x[0]) for x in P.weighty(np.array([c]), *[np.log([rate])] * 2, d))
+        out = law[(t < low) | (t > high)]
+        assert not len(out) or out.max() < law.max() - 40
+
+
+@pytest.mark.parametrize("values", [[], [0.0], [0.2, 0.2, 5.0], list(range(400)) + [3] * 9])
+def test_coded_values_come_back(values):
+    values = np.array(values, np.float32)
+    common, code, _ = P.coded(values)
+    assert (P.uncoded(common, code, values[code == 255]) == values).all()
+
+
+def test_texts_are_cut_once_and_kept_beside_the_questions(spark, tmp_path):
+    """The questions' stage leaves one file a chunk, which the scores are made from."""
+    folder = tmp_path / "texts"
+    folder.mkdir()
+    docs = frame(spark).select("doc_id", "text").repartition(3)
+    asked = docs.mapInArrow(P.asker(4, np.zeros(0, np.uint64), str(folder)), P.MESSAGE).collect()
+    names = {P.unpack(r.blob)[8] for r in asked}
+    assert len(names) == 3 and names == {f.name for f in folder.iterdir()}
+    keys = [k for f in folder.iterdir() for k in P.unpack(f.read_bytes())[0]]
+    assert Counter(keys) == Counter(r.doc_id for r in docs.collect())
