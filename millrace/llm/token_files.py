@@ -48,12 +48,19 @@ NO_ID = -(1 << 63)
 class Encoder:
     """Ids of whole texts by a tokenizer file that drops white space and splits words on their own.
 
-    Words are encoded once and remembered. Words of Latin letters with trailing punctuation go through the file's own
-    model without its (here idle) normaliser; all others go through the whole tokenizer. Both give what encoding the
-    whole text gives, because the tokenizer's parts never look across ASCII white space."""
+    A text of Latin letters and other ASCII is lower-cased and cut as the file itself cuts it; the pieces go through the
+    file's own model without its (here idle) normaliser, once, and are remembered. Any other text is cut at white space:
+    words of Latin letters with trailing punctuation are put together from pieces, the rest goes through the whole
+    tokenizer. All give what encoding the whole text gives, because the tokenizer's parts never look across ASCII white
+    space."""
 
     #: Letters whose NFC form is themselves and whose lower case is one letter; then ASCII punctuation but the apostrophe.
     PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+    #: What a text of such letters, ASCII digits, punctuation and white space does not hold.
+    ODD = re.compile(r"[^A-Za-zÀ-ÖØ-öø-ÿ!-@\[-`{-~\t-\r ]")
+    #: The file's own cut, and the same over such texts in lower case, with the most frequent case first.
+    CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    PIECE = re.compile(r"[a-zß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[!-/:-@\[-`{-~]+")
     REMEMBERED = 700_000
 
     def __init__(self, path: str):
@@ -71,20 +78,47 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for piece, i in vocabulary.items():
             self.ends[i] = piece.endswith("</w>")
-        self.split = self.splits(path)
+        self.split, cut = self.splits(path)
+        self.cuts = cut == self.CUT
+        self.added = [t.content.lower() for t in self.whole.get_added_tokens_decoder().values()]
         self.word: dict[bytes, bytes] = {}
         self.piece: dict[str, bytes] = {}
 
     @staticmethod
-    def splits(path: str) -> bool:
-        """Whether the file is of the kind whose words can be encoded on their own."""
+    def splits(path: str) -> tuple[bool, str | None]:
+        """Whether the file is of the kind whose words can be encoded on their own, and the pattern that cuts them."""
         import json
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         steps = [s.get("type") for s in (spec.get("normalizer") or {}).get("normalizers", [])]
-        cut = [s.get("type") for s in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])]
-        return steps == ["NFC", "Replace", "Lowercase"] and cut == ["Split", "ByteLevel"] and spec["model"].get("end_of_word_suffix") == "</w>"
+        parts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        kind = steps == ["NFC", "Replace", "Lowercase"] and [s.get("type") for s in parts] == ["Split", "ByteLevel"]
+        kind = kind and spec["model"].get("end_of_word_suffix") == "</w>"
+        own = kind and parts[0].get("behavior") == "Removed" and parts[0].get("invert")
+        return kind, parts[0]["pattern"].get("Regex") if own else None
+
+    def _pieces(self, wanted) -> None:
+        """Encode pieces (lower case, without white space) that are not known yet."""
+        missing = [p for p in wanted if p not in self.piece]
+        for i in range(0, len(missing), 1000):
+            part = missing[i : i + 1000]
+            ids = np.array(self.pieces.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids)
+            data, width = ids.astype(self.kind).tobytes(), self.width
+            stops = ((np.flatnonzero(self.ends[ids]) + 1) * width).tolist()
+            if len(stops) != len(part):
+                raise ValueError("the tokenizer does not mark the ends of words")
+            self.piece.update((p, data[a:b]) for p, a, b in zip(part, [0, *stops], stops))
+
+    def _cut(self, text: bytes) -> list[str] | None:
+        """The pieces of a text that can be cut here as the file cuts it."""
+        if not self.cuts:
+            return None
+        read = text.decode()
+        if self.ODD.search(read):
+            return None
+        read = read.lower()
+        return None if any(a in read for a in self.added) else self.PIECE.findall(read)
 
     def _learn(self, new: list[bytes]) -> None:
         plain, other, wanted = [], [], set()
@@ -99,16 +133,7 @@ class Encoder:
                     wanted.add(b)
             else:
                 other.append(w)
-        missing = [p for p in wanted if p not in self.piece]
-        for i in range(0, len(missing), 1000):
-            part = missing[i : i + 1000]
-            ids = np.array(self.pieces.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids)
-            data, width = ids.astype(self.kind).tobytes(), self.width
-            stops = ((np.flatnonzero(self.ends[ids]) + 1) * width).tolist()
-            if len(stops) != len(part):
-                raise ValueError("the tokenizer does not mark the ends of words")
-            for p, a, b in zip(part, [0, *stops], stops):
-                self.piece[p] = data[a:b]
+        self._pieces(wanted)
         for w, a, b in plain:
             self.word[w] = self.piece[a] + self.piece[b] if b else self.piece[a]
         if other:
@@ -120,14 +145,16 @@ class Encoder:
         if not self.split:
             found = self.whole.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
             return [np.array(e.ids, self.kind).tobytes() for e in found]
-        if len(self.word) > self.REMEMBERED:
+        if len(self.word) + len(self.piece) > self.REMEMBERED:
             self.word, self.piece = {}, {}
-        cut = [t.split() for t in texts]
-        new = set().union(*cut).difference(self.word) if cut else set()
+        cut = [self._cut(t) for t in texts]
+        self._pieces(set().union(*[c for c in cut if c is not None]))
+        odd = [t.split() if c is None else () for c, t in zip(cut, texts)]
+        new = set().union(*odd).difference(self.word)
         if new:
             self._learn(sorted(new))
-        get = self.word.__getitem__
-        return [b"".join(map(get, w)) for w in cut]
+        piece, word = self.piece.__getitem__, self.word.__getitem__
+        return [b"".join(map(word, w) if c is None else map(piece, c)) for c, w in zip(cut, odd)]
 
 
 def dictionary(docs: DataFrame, tokenizer: str, doc_id: str, text: str) -> bytes:

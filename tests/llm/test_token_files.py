@@ -108,3 +108,26 @@ def test_a_table_of_short_documents_gets_a_dictionary(spark):
         assert len(content) > 1000
     few = frame(spark, rows[:300]).withColumnsRenamed({"doc_id": "i", "text": "t"})
     assert T.dictionary(few, FILE, "i", "t") == b""
+
+
+def test_a_plain_text_is_cut_into_pieces_that_stand_once(tokenizer):
+    texts = ["The cat's the the, THE! (the) 'the' we'LL '''s x'st a1b22 C3-Po\x0bÉté.É été", "it's\tÿ~`^_@ don't !'s 's", "K\x0cx\ry\n"]
+    encoder = T.Encoder(FILE)
+    got = encoder.encode([t.encode() for t in texts])
+    for t, ids in zip(texts, got):
+        assert np.frombuffer(ids, "<u2").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
+    assert not encoder.word and "the" in encoder.piece and "the," not in encoder.piece
+    odd = ["x\x1cy the", "<|EndOfText|> the <|endoftext|>", "ẖ H̱", "3 × 4 ÷ 2", "na me"]
+    got = encoder.encode([t.encode() for t in odd])
+    for t, ids in zip(odd, got):
+        assert np.frombuffer(ids, "<u2").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
+
+
+def test_random_plain_texts(tokenizer):
+    rng = np.random.default_rng(11)
+    letters = [c for c in map(chr, [*range(0x20, 0x7F), *range(0xC0, 0x100), 9, 10, 11, 12, 13]) if c not in "×÷"] + ["'s", "'LL", "'", " "] * 4
+    texts = ["".join(rng.choice(letters, 60)) for _ in range(3000)]
+    encoder = T.Encoder(FILE)
+    got = encoder.encode([t.encode() for t in texts])
+    assert not encoder.word
+    assert [t for t, ids in zip(texts, got) if np.frombuffer(ids, "<u2").tolist() != tokenizer.encode(t, add_special_tokens=False).ids] == []
