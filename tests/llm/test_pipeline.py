@@ -74,3 +74,30 @@ def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], LABELS).write.parquet(f"{d}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
     assert C.run(spark, d).count() == 0
+
+
+def test_a_worker_forgets_what_another_operator_kept(spark):
+    from millrace.llm import common as K
+
+    class Held:
+        columns, schema = ["a"], K.fields(a="long")
+
+        def mapInArrow(self, run, schema):
+            return list(run(iter([])))
+
+    K.forget()
+    first = K.kept("one", dict)
+    assert K.kept("one", dict) is first and list(K._keeps()) == ["one"]
+    K.kept("two", list)
+    assert list(K._keeps()) == ["two"]
+    for keeps, left in (("two", ["two"]), (None, [])):
+        assert K.arrow_map(Held(), lambda batches: ([] for _ in batches), K.fields(b="long"), keeps=keeps) == []
+        assert list(K._keeps()) == left
+
+
+def test_sentencepiece_does_not_depend_on_the_rows_at_once(spark, planted):
+    import corpus_pipeline as C
+
+    docs = spark.read.parquet(f"{planted[0]}/documents.parquet")
+    got = [sorted(map(str, C.segment(docs.select("doc_id", "text"), C.MODEL, hide=("text",), at_once=n).collect())) for n in (7, 1000)]
+    assert got[0] == got[1]
