@@ -39,7 +39,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents as ids of their best segmentation, with n-best scores and the round trip's outcome."""
-    rows = segment(docs.select("doc_id", "text"), MODEL, decoded=False, hide=("text",), at_once=400)
+    rows = segment(docs.select("doc_id", "text"), MODEL, decoded=False, hide=("text",), at_once=200)
     return rows.select("doc_id", "n_pieces", "score", "nbest_scores", "ids_crc32", "round_trip", "ids")
 
 
