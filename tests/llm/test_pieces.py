@@ -129,3 +129,65 @@ def test_sound_units_joined_are_the_decoded_text(lattice):
     decoded = lattice.decode(__import__("numpy").frombuffer(ids, "<i4").tolist()).decode()
     assert whole and lattice.broken.isdisjoint(units) and decoded == "".join(units)
     assert lattice.spaced(decoded) == lattice.spaced("".join(units)) and not lattice.spaced(decoded).startswith(" ")
+
+
+@pytest.mark.parametrize("n", [1, 4])
+def test_the_text_is_decoded_from_the_ids_of_every_row(spark, monkeypatch, n):
+    """Pieces that change after their units were learned show in the decoded text and in the round trip."""
+    import pyarrow as pa
+
+    from millrace.llm import pieces
+
+    lattice = Lattice(MODEL)
+    lattice.learn(lattice.units("the cat sat"))
+    the = lattice.edge[(MARK + "the").encode()][0]
+    lattice.surface[the] = (MARK + "teh").encode()
+    lattice.pieces = pa.array(lattice.surface, pa.large_binary())
+    monkeypatch.setattr(pieces, "kept", lambda key, make: lattice)
+    monkeypatch.setattr(pieces, "arrow_map", lambda df, run, add, *rest: (run, add.names))
+    texts = ["the cat sat", None, "cat", "", "sat the"]
+    run, names = segment(frame(spark, []).select("text"), MODEL, n)
+    (out,) = run(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])]))
+    got = dict(zip(names, (c.to_pylist() for c in out)))
+    assert got["decoded"] == ["teh cat sat", "", "cat", "", "sat teh"]
+    assert got["round_trip"] == [False, True, True, True, False]
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_a_round_trip_is_that_of_the_n_best_of_its_own_text(spark, tmp_path, turned):
+    """The second best of a unit does not decode to it: that counts where it is among the n best, whatever other rows hold."""
+    import sentencepiece
+
+    model = f"{tmp_path}/small.model"
+    with open(model, "wb") as out:
+        sentencepiece.SentencePieceTrainer.train(
+            sentence_iterator=iter(["ab ba aab bba abab"] * 20), model_writer=out, vocab_size=12, model_type="unigram",
+            user_defined_symbols=["日本"], hard_vocab_limit=False, minloglevel=2,
+        )
+    texts = {"日本": False, "ab 日本 ba abab": True, "日": False, "ab": True}
+    rows = [(k, t, "en", "s", None) for k, t in enumerate(texts)]
+    found = segment(frame(spark, rows[::-1] if turned else rows).coalesce(1), model).collect()
+    assert {r.text: r.round_trip for r in found} == texts
+    assert {r.text: r.decoded for r in found if r.text != "日"} == {t: t for t in texts if t != "日"}
+
+
+def test_a_batch_of_empty_texts(lattice):
+    scores, paths = lattice.paths([[], []], 4)
+    assert scores == [[0], [0]] and [lattice.decode_all(ids, ends) for ids, ends, _ in paths] == [[b"", b""], [], [], []]
+
+
+@pytest.mark.parametrize("n", [1, 4])
+def test_whole_paths_are_those_of_each_text(lattice, n):
+    """Many texts at once: scores, ids and decoded text of each of the n best, against all paths of the text's lattice."""
+    texts = [[], lattice.units("the a"), lattice.units("x"), lattice.units("ab ab ab"), [], lattice.units("日本 é"), lattice.units("the a")]
+    scores, paths = lattice.paths(texts, n)
+    got = [[] for _ in texts]
+    for ids, ends, rows in paths:
+        decoded = lattice.decode_all(ids, ends)
+        for k, a, b, text in zip(rows.tolist(), [0, *ends.tolist()], ends.tolist(), decoded):
+            got[k].append(tuple(ids[a:b].tolist()))
+            assert text.decode() == "".join(texts[k]) and text == lattice.decode(got[k][-1])
+    for units, own, found in zip(texts, scores, got):
+        want = brute(lattice, "".join(units))
+        value = {path: score for score, path in want}
+        assert own == [s for s, _ in want[:n]] == [value[path] for path in found] and len(set(found)) == len(found)
